@@ -81,8 +81,9 @@ def tones(tokens: Column | str, legacy_tone_table: bool = False) -> Column:
 
 def letters_only(c: Column | str) -> Column:
     """Lower-cased text with every run of non-letters as one blank, blank-framed."""
-    body = strip(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}]+", " "))
-    return F.when(body != "", F.concat(F.lit(" "), body, F.lit(" ")))
+    # Only plain blanks are left, so ``trim`` does.
+    body = F.trim(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}]+", " "))
+    return F.concat(F.lit(" "), body, F.lit(" "))
 
 
 def trigrams(c: Column | str) -> Column:

@@ -60,10 +60,10 @@ def hash_index(
     whatever the groups look like, so a group with a third of the rows spreads
     over 2**bucket_bits tasks. Bucket sizes are counted first; ranking is per bucket.
     """
-    bucket = F.shiftright(seeded_hash(key, seed), _HASH_BITS - bucket_bits)
+    bucket = F.shiftright("_hash", _HASH_BITS - bucket_bits)
     # A struct as key lets rows without a group keep each other company.
     slot = F.struct(*([F.col(group).alias("g")] if group else []), bucket.alias("b"))
-    hashed = df.withColumn("_slot", slot)
+    hashed = df.withColumn("_hash", seeded_hash(key, seed)).withColumn("_slot", slot)
     before = Window.orderBy("_slot")  # one row per group and bucket
     if per_group and group:
         before = Window.partitionBy("_slot.g").orderBy("_slot")
@@ -73,7 +73,7 @@ def hash_index(
         .agg(F.count("*").alias("_rows"))
         .select("_slot", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_slot").orderBy(seeded_hash(key, seed), key)
+    inside = Window.partitionBy("_slot").orderBy("_hash", key)
     # Joined on the window's own key: the ranked rows are not shuffled again.
     ranked = hashed.withColumn("_rank", F.row_number().over(inside))
     joined = ranked.join(offsets, "_slot")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusflow import constants as K
 from corpusflow.functions.columns import strip
 from corpusflow.functions.text import letters_only, trigrams
-from corpusflow.session import stage
+from corpusflow.session import BROADCAST_BYTES, broadcast_if_small, stage
 
 # Log-probabilities are kept as whole millionths: their sums are exact and do
 # not depend on the order in which tasks add them up.
@@ -24,6 +24,7 @@ class LanguageProfiles:
     languages: list[str]
     unseen: list[int]
     table: DataFrame
+    size_bytes: int
 
 
 def _pieces(text: Column, sample_chars: int | None) -> Column:
@@ -59,7 +60,10 @@ def fit_language_profiles(
     unseen = labelled.sparkSession.range(1).select(
         *[_score(F.lit(0), s).alias(f"w{i}") for i, s in enumerate(sizes)]
     ).first()
-    return LanguageProfiles(languages, list(unseen or []), stage(wide, "language-profiles"))
+    table = stage(wide, "language-profiles")
+    # A trigram and one 8-byte score per language, with the hash table around them.
+    size = distinct * (64 + 8 * len(languages))
+    return LanguageProfiles(languages, list(unseen or []), table, size)
 
 
 def detect_language(
@@ -74,16 +78,23 @@ def detect_language(
 
     Ties go to the first code. A text without letters, or just a note mark, is
     ``unknown``. The whole text counts unless ``sample_chars`` says otherwise.
-    With profiles under the broadcast threshold, tasks add up the scores of
-    their own texts and shuffle one row per text.
+    Profiles within the broadcast limit go to every task: tasks add up the
+    scores of their own texts and shuffle one row per text. Larger profiles are
+    met by a shuffled join of (text, trigram) counts.
     """
     weights = [f"w{i}" for i in range(len(profiles.languages))]
     pieces = df.select(key, F.explode_outer(_pieces(F.col(text), sample_chars)).alias("gram"))
-    # Catalyst sees the size of the stored profiles and picks the join.
-    scored = pieces.join(profiles.table, "gram", "left")
+    small = profiles.size_bytes <= BROADCAST_BYTES
+    pieces = pieces.withColumn("_m", F.when(F.col("gram").isNotNull(), F.lit(1)).otherwise(F.lit(0)))
+    if not small:
+        pieces = pieces.groupBy(key, "gram").agg(F.sum("_m").alias("_m"))
+    scored = pieces.join(broadcast_if_small(profiles.table, profiles.size_bytes), "gram", "left")
     sums = scored.groupBy(key).agg(
-        F.count("gram").alias("_grams"),
-        *[F.sum(F.coalesce(w, F.lit(u))).alias(w) for w, u in zip(weights, profiles.unseen)],
+        F.sum("_m").alias("_grams"),
+        *[
+            F.sum(F.coalesce(w, F.lit(u)) * F.col("_m")).alias(w)
+            for w, u in zip(weights, profiles.unseen)
+        ],
     )
     best = F.greatest(*weights) if len(weights) > 1 else F.col(weights[0])
     choice = F.when(F.col("_grams") == 0, F.lit(K.UNKNOWN_LANGUAGE))

@@ -112,7 +112,8 @@ def mixup(
     seeded shuffle puts at place i. One lambda per batch, Beta(alpha, alpha)
     unless ``lam`` fixes it. Other columns stay. Adds ``batch`` and ``partner``.
     """
-    batches = chunk(df, size, [key])
+    # Only the keys are numbered (and checkpointed); the arrays join by key.
+    batches = df.join(chunk(df.select(key), size, [key]), key)
     if alpha <= 0 and lam is None:
         return batches.drop("pos").withColumn("partner", F.col(key))
     row = F.struct(*[F.col(c) for c in df.columns])

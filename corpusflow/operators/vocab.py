@@ -10,7 +10,10 @@ from corpusflow import constants as K
 from corpusflow.functions.arrays import pad_or_truncate
 from corpusflow.functions.text import tokenize, tone
 from corpusflow.operators.index import dense_index
-from corpusflow.session import stage
+from corpusflow.session import BROADCAST_BYTES, broadcast_if_small, stage
+
+# Tokens of a large vocabulary that are broadcast.
+HEAD_TOKENS = 1_000_000
 
 _POS_SLOTS = 10_000_000_000  # more than the tokens one text can have
 
@@ -68,6 +71,29 @@ def with_reserved(vocab: DataFrame) -> DataFrame:
     return reserved.unionByName(vocab)
 
 
+def _with_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Tokens with their identifiers; unknown ones have NULL.
+
+    A vocabulary within the broadcast limit goes to every task. Of a larger one
+    its most frequent part does: that settles nearly all tokens, the hot ones
+    among them, and only the rest is shuffled to the remaining vocabulary.
+    """
+    words = vocab.select("token", "token_id", "freq")
+    if _vocab_bytes(words) <= BROADCAST_BYTES:
+        return tokens.join(F.broadcast(words.drop("freq")), "token", "left")
+    head = stage(words.orderBy(F.desc("freq"), "token").limit(HEAD_TOKENS), "vocabulary-head")
+    frequent = broadcast_if_small(head.drop("freq"), _vocab_bytes(head))
+    settled = tokens.join(frequent, "token")
+    # NULL tokens (empty texts) match nothing and pass the anti-join.
+    rest = tokens.join(frequent.select("token"), "token", "left_anti")
+    return settled.unionByName(rest.join(words.drop("freq"), "token", "left"))
+
+
+def _vocab_bytes(words: DataFrame) -> int:
+    row = words.agg(F.count("*").alias("n"), F.sum(F.octet_length("token")).alias("b")).first()
+    return (row["b"] or 0) + 64 * row["n"] if row else 0
+
+
 def encode(
     df: DataFrame,
     key: str,
@@ -78,15 +104,14 @@ def encode(
 ) -> DataFrame:
     """(key, ids, tones): two arrays of exactly ``length`` integers per row.
 
-    ``key`` has to be unique. A staged or stored vocabulary has a known size:
-    if small, it is broadcast and only the finished rows are shuffled. The
-    arrays collected per row are bounded by ``length``.
+    ``key`` has to be unique. Pass a stored vocabulary, as it is measured
+    first. The arrays collected per row are bounded by ``length``.
     """
     tokens = df.select(
         F.col(key), F.posexplode_outer(tokenize(text, length)).alias("_pos", "token")
     )
     token_id = F.coalesce("token_id", F.lit(K.UNKNOWN_ID))
-    marked = tokens.join(vocab.select("token", "token_id"), "token", "left").select(
+    marked = _with_ids(tokens, vocab).select(
         key,
         F.when(
             F.col("_pos").isNotNull(),

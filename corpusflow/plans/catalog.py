@@ -69,13 +69,16 @@ def filter_texts(
 ) -> DataFrame:
     """Every text with its route and reason; language is asked only of open rows.
 
-    Identifiers of ``texts`` have to be unique.
+    Languages are found per identifier and text digest, so rows without an
+    identifier, or with the same one, keep their own language. Copies of one row
+    add to the same scores, which does not change the choice.
     """
     titled = joins.attach_title(_with_id(texts), None if titles is None else _with_id(titles), K.ID_COL)
     sorted_out = content_route(titled, K.TITLE_COL, K.TEXT_COL, keywords)
-    open_rows = sorted_out.filter(F.col("route").isNull())
-    found = detect_language(open_rows, K.ID_COL, K.TEXT_COL, profiles, sample_chars)
-    return route_by_language(sorted_out.join(found, K.ID_COL, "left"), target)
+    keyed = sorted_out.withColumn("_key", F.struct(K.ID_COL, F.md5(K.TEXT_COL).alias("digest")))
+    open_rows = keyed.filter(F.col("route").isNull())
+    found = detect_language(open_rows, "_key", K.TEXT_COL, profiles, sample_chars)
+    return route_by_language(keyed.join(found, "_key", "left").drop("_key"), target)
 
 
 @dataclass(frozen=True)
@@ -93,9 +96,9 @@ def build_master(
     """
     quality.require_columns(meta, [K.ID_COL, K.TITLE_COL, K.PEOPLE_COL], "metadata")
     quality.require_columns(texts, [K.ID_COL, K.TEXT_COL], "texts")
-    left = dedup.dedup_first(_with_id(meta), [K.ID_COL], meta_order)
-    right = dedup.dedup_first(_with_id(texts), [K.ID_COL], text_order)
-    right = right.select(K.ID_COL, K.TEXT_COL)
+    meta, texts = _with_id(meta), _with_id(texts)
+    left = dedup.dedup_first(meta, [K.ID_COL], meta_order)
+    right = dedup.dedup_first(texts, [K.ID_COL], text_order).select(K.ID_COL, K.TEXT_COL)
     joined = joins.merge_inner(left, right, K.ID_COL)
     # The empty-column test reads the table once more than the result does.
     readable = stage(joined.filter(has_text(K.TEXT_COL)), "master")
@@ -107,7 +110,7 @@ def build_master(
     order = [c for c in meta_order if c in numbers.columns] + [K.ID_COL]
     if K.TITLE_COL in numbers.columns and K.PEOPLE_COL in numbers.columns:
         numbers = dedup.dedup_by_match_key(numbers, [K.TITLE_COL, K.PEOPLE_COL], order)
-    return Master(quality.reorder_columns(numbers), joins.reconcile(left, right, K.ID_COL))
+    return Master(quality.reorder_columns(numbers), joins.reconcile(meta, texts, K.ID_COL))
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest table an operator broadcasts on its own measurement.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def build_session(app: str = "corpusflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,6 +23,7 @@ def build_session(app: str = "corpusflow", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     if master:
         builder = builder.master(master)
@@ -53,6 +58,11 @@ def fix_rows(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a table whose measured size is within the limit, else the table as it is."""
+    return F.broadcast(df) if size_bytes <= limit else df
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table once to the shared folder and read it back.
 

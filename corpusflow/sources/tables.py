@@ -25,7 +25,7 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -
     try:
         return reader.csv(path)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err):
+        if err.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no table at {path}") from err
         raise
 
@@ -61,12 +61,25 @@ def write_id_list(df: DataFrame, key: str, path: str, mode: str = "append") -> N
     df.select(F.col(key).cast("string").alias("value")).write.mode(mode).text(path)
 
 
+def read_if_present(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is nothing yet."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def materialize_once(
     spark: SparkSession, build: Callable[[], DataFrame], path: str
 ) -> DataFrame:
     """The stored table if there is one, else build it, store it and read it back."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    stored = read_if_present(spark, path)
+    if stored is None:
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        stored = spark.read.parquet(path)
+    return stored

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusflow.operators.dedup import admit_new
+from corpusflow.sources.tables import read_if_present
 
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -37,12 +37,9 @@ def admit_to_table(
     """
 
     def admit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            stored = spark.read.schema(f"{key} {batch.schema[key].dataType.simpleString()}, batch_id long")
-            seen = stored.parquet(path).filter(F.col("batch_id") < batch_id)
-        except AnalysisException:  # nothing stored yet
-            seen = batch.limit(0)
+        columns = f"{key} {batch.schema[key].dataType.simpleString()}, batch_id long"
+        stored = read_if_present(batch.sparkSession, path, columns)
+        seen = batch.limit(0) if stored is None else stored.filter(F.col("batch_id") < batch_id)
         fresh = admit_new(batch, seen, key, order_by, target)
         fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

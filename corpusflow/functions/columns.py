@@ -19,14 +19,14 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove leading and trailing Unicode whitespace (``trim`` knows only spaces)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """Remove leading and trailing Unicode whitespace (plain ``trim`` knows only spaces)."""
+    return F.btrim(_col(c), F.lit(K.WHITESPACE))
 
 
 def normalize_id(c: Column | str) -> Column:
     """Identifier as stripped text; blank and ``nan`` become NULL."""
     text = strip(_col(c).cast("string"))
-    return F.when((text != "") & (F.lower(text) != "nan"), text)
+    return F.when(~F.lower(text).isin("", "nan"), text)
 
 
 def to_number(c: Column | str, dtype: str = "float") -> Column:

@@ -58,6 +58,16 @@ def fix_rows(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input with fewer splits than cores out to all cores.
+
+    For work that costs much more than moving the rows. An input with enough
+    splits, as every large one has, is passed on without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint for a table whose measured size is within the limit, else the table as it is."""
     return F.broadcast(df) if size_bytes <= limit else df

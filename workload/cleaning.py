@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusflow import constants as K
 from corpusflow.functions import text
 from corpusflow.operators import dedup, joins, quality
-from workload.registry import query, table
+from workload.registry import documents, query, table
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
 _LINE_ORDER_SQL = ", ".join(LINE_ORDER)
@@ -71,7 +71,7 @@ def title_matches(spark, sf):
                {_ANY_KEYWORD.format("'The Best OF ' || text")} AS titled FROM documents""",
 )
 def title_matches_text(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         text.title_matches("text").alias("hit"),
         text.title_matches(F.concat("text", F.lit(" Best  Of"))).alias("spaced"),
@@ -95,7 +95,7 @@ def _bracketed():
         FROM documents""",
 )
 def marker_lines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.marker_lines(_bracketed()).alias("markers"))
+    return documents(spark, sf).select("doc_id", text.marker_lines(_bracketed()).alias("markers"))
 
 
 @query(
@@ -117,13 +117,13 @@ def too_long(spark, sf):
 )
 def compilation_reason(spark, sf):
     titles = table(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), "p_name")
-    docs = table(spark, sf, "documents").join(titles, "doc_id", "left")
+    docs = documents(spark, sf).join(titles, "doc_id", "left")
     reason = text.compilation_reason("p_name", _bracketed(), KEYWORDS)
     return docs.select("doc_id", reason.alias("reason"))
 
 
 def _labelled(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs = documents(spark, sf).select("doc_id", "lang")
     return docs.join(table(spark, sf, "labels"), "doc_id", "left")
 
 

@@ -9,7 +9,7 @@ from corpusflow.operators.vocab import stored_vocab
 from corpusflow.plans import catalog, training
 from workload.cleaning import EXT_SQL, KEYWORDS, LINE_ORDER, document_assets
 from workload.profiles import _NAMES, _rounded, _sql, MEASURES, PREDICTIONS, predictions
-from workload.registry import query, table
+from workload.registry import documents, query, table
 from workload.samples import u48
 from workload.texts import ENCODED, language_sql, vocab_sql
 
@@ -59,7 +59,7 @@ def curate_catalog(spark, sf):
                FROM documents LEFT JOIN part ON p_partkey = doc_id) d LEFT JOIN best ON k = doc_id""",
 )
 def filter_texts(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     texts = docs.select(F.col("doc_id").cast("string").alias("Spotify_ID"), F.col("text").alias("Lyrics"))
     titles = table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("Spotify_ID"), F.col("p_name").alias("Track_Name")
@@ -80,7 +80,7 @@ def _master_inputs(spark, sf):
         F.lit(" 4 ").alias("key"),
         F.col("p_partkey").alias("seq"),
     )
-    texts = table(spark, sf, "documents").select(
+    texts = documents(spark, sf).select(
         F.concat(F.col("doc_id").cast("string"), F.lit(" ")).alias("Spotify_ID"),
         F.when(F.col("doc_id") % 10 == 9, "No Lyrics").otherwise(F.col("text")).alias("Lyrics"),
         F.col("doc_id").alias("line"),
@@ -220,7 +220,7 @@ _READY = f"""ready AS (SELECT d.doc_id, text, quality, toxic, {EXT_SQL} AS ext
 )
 def prepare_training(spark, sf):
     labels = table(spark, sf, "labels")
-    ready = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
+    ready = documents(spark, sf).select("doc_id", "text").join(labels, "doc_id")
     made = training.prepare_training(
         ready, document_assets(spark, sf), key="doc_id", text="text", v="quality", e="toxic"
     ).samples

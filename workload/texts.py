@@ -8,7 +8,7 @@ from corpusflow import constants as K
 from corpusflow.functions import text
 from corpusflow.operators import language, routing, vocab
 from workload.cleaning import KEYWORDS
-from workload.registry import query, table
+from workload.registry import documents, query, table
 
 # Independent of the Spark side: punctuation to blanks, then split on blanks.
 TOKENS = r"""list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+'),
@@ -21,7 +21,7 @@ TOKENS = r"""list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}
         SELECT doc_id, CAST(len(toks) AS INTEGER) AS n, md5(array_to_string(toks, ' ')) AS digest FROM t""",
 )
 def tokenize(spark, sf):
-    toks = table(spark, sf, "documents").select("doc_id", text.tokenize("text").alias("toks"))
+    toks = documents(spark, sf).select("doc_id", text.tokenize("text").alias("toks"))
     return toks.select(
         "doc_id", F.size("toks").alias("n"), F.md5(F.array_join("toks", " ")).alias("digest")
     )
@@ -39,7 +39,7 @@ def tone_sql(token: str) -> str:
         SELECT doc_id, {tone_sql("tok")} + 1 AS tone, count(*) AS n FROM t GROUP BY 1, 2""",
 )
 def tones(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     rows = docs.select("doc_id", F.explode(text.tones(text.tokenize("text"))).alias("tone"))
     return rows.groupBy("doc_id", "tone").agg(F.count("*").alias("n"))
 
@@ -49,7 +49,7 @@ def tones(spark, sf):
     f"SELECT token, count(*) AS freq FROM (SELECT unnest({TOKENS}) AS token FROM documents) GROUP BY 1",
 )
 def token_frequency(spark, sf):
-    return vocab.token_frequency(table(spark, sf, "documents"), "text")
+    return vocab.token_frequency(documents(spark, sf), "text")
 
 
 def vocab_sql(tokens: str = TOKENS, source: str = "documents") -> str:
@@ -61,7 +61,7 @@ def vocab_sql(tokens: str = TOKENS, source: str = "documents") -> str:
 
 @query("build_vocab", f"WITH {vocab_sql()} SELECT * FROM vocab")
 def build_vocab(spark, sf):
-    return vocab.build_vocab(table(spark, sf, "documents"), "doc_id", "text")
+    return vocab.build_vocab(documents(spark, sf), "doc_id", "text")
 
 
 @query(
@@ -70,7 +70,7 @@ def build_vocab(spark, sf):
 )
 def build_vocab_encoded_width(spark, sf):
     """Counts what a fixed-width encoding of 200 tokens sees."""
-    return vocab.build_vocab(table(spark, sf, "documents"), "doc_id", "text", max_tokens=K.ENCODED_LENGTH)
+    return vocab.build_vocab(documents(spark, sf), "doc_id", "text", max_tokens=K.ENCODED_LENGTH)
 
 
 ENCODED = f"""en AS (SELECT p.doc_id, p.pos, coalesce(v.token_id, 1) AS id, {tone_sql("p.token")} + 1 AS tone
@@ -85,7 +85,7 @@ ENCODED = f"""en AS (SELECT p.doc_id, p.pos, coalesce(v.token_id, 1) AS id, {ton
 
 @query("encode", f"WITH {vocab_sql()}, {ENCODED} SELECT * FROM encoded")
 def encode(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     words = vocab.stored_vocab(docs, "doc_id", "text")
     out = vocab.encode(docs, "doc_id", "text", words)
     return out.select(
@@ -114,7 +114,7 @@ def language_sql(source: str, key: str) -> str:
         SELECT doc_id, coalesce(language, 'unknown') AS language FROM documents LEFT JOIN best ON k = doc_id""",
 )
 def detect_language(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     profiles = language.fit_language_profiles(docs, "text", "lang")
     return language.detect_language(docs, "doc_id", "text", profiles)
 
@@ -126,7 +126,7 @@ def detect_language(spark, sf):
         FROM conversations LEFT JOIN best ON k = conv_id * 100000 + turn""",
 )
 def detect_language_unlabelled(spark, sf):
-    profiles = language.fit_language_profiles(table(spark, sf, "documents"), "text", "lang")
+    profiles = language.fit_language_profiles(documents(spark, sf), "text", "lang")
     turns = table(spark, sf, "conversations").withColumn("turn_id", F.col("conv_id") * 100000 + F.col("turn"))
     return language.detect_language(turns, "turn_id", "text", profiles)
 
@@ -146,7 +146,7 @@ def route_by_language(spark, sf):
     """Routes with the language given; texts without a label count as missing."""
     titles = table(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), "p_name")
     known = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("known"))
-    docs = table(spark, sf, "documents").join(titles, "doc_id", "left").join(known, "doc_id", "left")
+    docs = documents(spark, sf).join(titles, "doc_id", "left").join(known, "doc_id", "left")
     docs = docs.withColumn("text", F.when(F.col("known"), F.col("text")))
     routed = routing.route_by_language(routing.content_route(docs, "p_name", "text", KEYWORDS), "fr", "lang")
     return routed.select("doc_id", "route", "reason")

@@ -77,9 +77,12 @@ def format_people(c: Column | str, struct: bool = False) -> Column:
 def quadrant(v: Column | str, e: Column | str, cut: float = K.AXIS_CUT) -> Column:
     """0..3 from two axes: two for a high first axis plus one for a high second.
 
-    A missing axis counts as low, as every comparison with it is false.
+    A missing axis counts as low (Spark itself ranks NaN above all numbers).
     """
-    high = [F.coalesce(_col(a) >= F.lit(cut), F.lit(False)).cast("int") for a in (v, e)]
+    high = []
+    for axis in (v, e):
+        x = F.nanvl(_col(axis).cast("double"), F.lit(None).cast("double"))
+        high.append(F.coalesce(x >= F.lit(cut), F.lit(False)).cast("int"))
     return high[0] * F.lit(2) + high[1]
 
 

@@ -99,8 +99,8 @@ def letters_only(c: Column | str) -> Column:
 
 def trigrams(c: Column | str) -> Column:
     """All overlapping three-character pieces, in one pass over the text."""
-    # The look-behind keeps matches from starting inside a surrogate pair.
-    pattern = r"(?s)(?<![\x{D800}-\x{DBFF}])(?=(...))"
+    # Looks three characters ahead and moves on by one whole character.
+    pattern = r"(?s)(?=(...))."
     return F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -17,14 +18,16 @@ from corpusflow.functions.columns import quadrant, quadrant_name
 from corpusflow.operators.sampling import fold_split
 
 
-def _regressor(features: Sequence[str], target: str, out: str, weight: str | None) -> Pipeline:
+def _assembler(features: Sequence[str]) -> VectorAssembler:
+    # A training-ready table has no gaps; one that does is an error, not a silent loss of rows.
+    return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
+
+
+def _regressor(target: str, out: str, weight: str | None) -> LinearRegression:
     fit = LinearRegression(
         featuresCol="_features", labelCol=target, predictionCol=out, solver="normal"
     )
-    if weight:
-        fit = fit.setWeightCol(weight)
-    gather = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    return Pipeline(stages=[gather, fit])
+    return fit.setWeightCol(weight) if weight else fit
 
 
 def _clip(name: str):
@@ -39,19 +42,22 @@ def cross_fit(
     weight: str | None = None,
     folds: int = 5,
     keep: Sequence[str] = (),
+    parallelism: int = 4,
 ) -> DataFrame:
     """Predict every row with models that never saw its fold.
 
     One weighted regression per fold and target, each fitted by a distributed
-    aggregation. Returns (``keep``, fold, y_v, y_e, p_v, p_e), predictions in [0, 1].
+    aggregation; ``parallelism`` folds are submitted at a time. Returns (``keep``,
+    fold, y_v, y_e, p_v, p_e), predictions in [0, 1].
     """
-    needed = list(dict.fromkeys([*keep, fold, *features, *targets, *([weight] if weight else [])]))
-    rows = df.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    needed = list(dict.fromkeys([*keep, fold, "_features", *targets, *([weight] if weight else [])]))
+    rows = _assembler(features).transform(df).select(*needed)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
 
     def held_out(i: int) -> DataFrame:
         train, test = fold_split(rows, i, fold)
         for target, out in zip(targets, ("p_v", "p_e")):
-            test = _regressor(features, target, out, weight).fit(train).transform(test).drop("_features")
+            test = _regressor(target, out, weight).fit(train).transform(test)
         return test.select(
             *keep,
             fold,
@@ -61,7 +67,9 @@ def cross_fit(
             _clip("p_e"),
         )
 
-    return reduce(DataFrame.unionByName, [held_out(i) for i in range(folds)])
+    with ThreadPool(min(parallelism, folds)) as pool:
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(held_out), range(folds))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_final(
@@ -69,7 +77,7 @@ def fit_final(
 ) -> dict[str, PipelineModel]:
     """One model per axis, fitted on all rows."""
     return {
-        out: _regressor(features, target, out, weight).fit(df)
+        out: Pipeline(stages=[_assembler(features), _regressor(target, out, weight)]).fit(df)
         for target, out in zip(targets, ("p_v", "p_e"))
     }
 

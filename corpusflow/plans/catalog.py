@@ -48,7 +48,8 @@ def curate_catalog(
     meta, features = _with_id(meta, "id"), _with_id(features)
     title = "name" if "name" in meta.columns else K.TITLE_COL
     required = [K.ID_COL, *([title] if title in meta.columns else [])]
-    rows = dedup.dedup_first(quality.drop_invalid(meta, required), [K.ID_COL], order_by)
+    # Invalid identifiers are NULL by now.
+    rows = dedup.dedup_first(meta.na.drop(subset=required), [K.ID_COL], order_by)
     ids = features.filter(F.col(K.ID_COL).isNotNull())
     joined = joins.enrich_left(rows, dedup.dedup_first(ids, [K.ID_COL], feature_order), K.ID_COL)
     named = joined.withColumn(K.PEOPLE_COL, _people(joined))

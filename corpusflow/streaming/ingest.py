@@ -117,12 +117,15 @@ def run_to_table(
 ) -> DataFrame:
     """Run append streams to the end of the available input and read their output."""
     parts = [streams] if isinstance(streams, DataFrame) else list(streams)
-    tables = []
-    for i, part in enumerate(parts):
-        query = resume_ingest(part, f"{path}/{i}", f"{checkpoint}/{i}")
+    running = [
+        resume_ingest(part, f"{path}/{i}", f"{checkpoint}/{i}") for i, part in enumerate(parts)
+    ]
+    for query in running:
         query.awaitTermination()
-        tables.append(part.sparkSession.read.schema(part.schema).parquet(f"{path}/{i}"))
-    return reduce(DataFrame.unionByName, tables)
+    return reduce(
+        DataFrame.unionByName,
+        [p.sparkSession.read.schema(p.schema).parquet(f"{path}/{i}") for i, p in enumerate(parts)],
+    )
 
 
 def run_counts(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

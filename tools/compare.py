@@ -1,6 +1,9 @@
 """Run queries next to their SQL twins in DuckDB and report differences.
 
     python tools/compare.py [sf_dir] [name ...]
+
+COMPARE_CONF takes more Spark settings as key=value, comma-separated, for
+example spark.sql.autoBroadcastJoinThreshold=-1 to see the shuffled joins.
 """
 
 from __future__ import annotations
@@ -79,8 +82,9 @@ def main() -> int:
     entry = importlib.import_module("__spark_entry__")
     queries, oracles = entry.queries(), entry.oracle_sql()
     chosen = sys.argv[2:] or list(queries)
+    extra = dict(p.split("=", 1) for p in os.environ.get("COMPARE_CONF", "").split(",") if p)
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "compare", "local[8]", **extra | {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
                                   "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")

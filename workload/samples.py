@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.columns import quadrant
 from corpusflow.operators import modeling, profile, sampling
-from corpusflow.session import work_path
+from corpusflow.session import spread, work_path
 from workload.profiles import axes
 from workload.registry import query, table
 
@@ -100,7 +100,7 @@ def eval_batches(spark, sf):
 
 
 def _items(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread(table(spark, sf, "lineitem")).select(
         F.xxhash64("*").alias("row_id"),
         (F.col("l_quantity") / 50).alias("v"),
         (F.col("l_discount") * 10).alias("e"),

@@ -56,7 +56,7 @@ def hash_index(
     """0-based position in a seeded random order; ``key`` has to be unique.
 
     With ``group`` the order is (group, hash): numbered through, or from 0 in
-    every group with ``per_group``. Leading hash bits form buckets of even size
+    every group with ``per_group``; groups are meant to be few, such as classes. Leading hash bits form buckets of even size
     whatever the groups look like, so a group with a third of the rows spreads
     over 2**bucket_bits tasks. Bucket sizes are counted first; ranking is per bucket.
     """

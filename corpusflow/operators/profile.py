@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusflow import constants as K
 from corpusflow.functions.columns import quadrant_name
-from corpusflow.session import stage
+from corpusflow.session import CLASS_ROW_BYTES, broadcast_if_small, stage
 
 
 def quadrant_counts(df: DataFrame, include_empty: bool = False, col: str = "quadrant") -> DataFrame:
@@ -142,9 +142,10 @@ def class_weights(df: DataFrame, label: str, classes: int | None = None) -> Data
 def attach_class_weights(df: DataFrame, label: str, classes: int | None = None) -> DataFrame:
     """Every row with the weight of its class.
 
-    The class table is staged, so its size is known when the join is planned.
+    The class table is stored and counted first: the few classes of a balanced
+    task are broadcast, so a class with most of the rows is not gathered anywhere.
     """
     weights = stage(class_weights(df, label, classes).select(label, "weight"), "class-weights")
-    return df.join(weights, label)
+    return df.join(broadcast_if_small(weights, weights.count() * CLASS_ROW_BYTES), label)
 
 

@@ -12,7 +12,7 @@ from corpusflow import constants as K
 from corpusflow.functions.arrays import blend
 from corpusflow.functions.columns import seeded_hash, seeded_uniform
 from corpusflow.operators.index import chunk, hash_index
-from corpusflow.session import stage
+from corpusflow.session import CLASS_ROW_BYTES, broadcast_if_small, stage
 
 # Draws of one row that a single join key may get before the key is salted.
 DRAWS_PER_KEY = 100_000
@@ -59,18 +59,20 @@ def balanced_sample(
         "_size",
         F.greatest(F.ceil(per_member / F.lit(draws_per_key)), F.lit(1)).cast("long").alias("_salts"),
     )
+    class_bytes = shape["_classes"] * CLASS_ROW_BYTES
     draws = df.sparkSession.range(wanted).select(
         F.col("id").alias("draw"),
         F.floor(seeded_uniform("id", f"{seed}:class") * F.lit(shape["_classes"])).alias("_class"),
         seeded_uniform("id", f"{seed}:member").alias("_u"),
     )
-    placed = draws.join(classes, "_class").select(
+    placed = draws.join(broadcast_if_small(classes, class_bytes), "_class").select(
         "draw",
         label,
         F.floor(F.col("_u") * F.col("_size")).alias("_at"),
         (F.col("draw") % F.col("_salts")).alias("_salt"),
     )
-    salted = members.join(classes.select(label, "_salts"), label).withColumn(
+    salts = broadcast_if_small(classes.select(label, "_salts"), class_bytes)
+    salted = members.join(salts, label).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - F.lit(1)))
     )
     return placed.join(salted, [label, "_at", "_salt"]).select("draw", *df.columns)

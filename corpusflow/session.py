@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # Largest table an operator broadcasts on its own measurement.
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Generous size of one row of a class table (label and a few numbers).
+CLASS_ROW_BYTES = 256
 
 
 def build_session(app: str = "corpusflow", master: str | None = None, **conf: str) -> SparkSession:

@@ -40,13 +40,11 @@ def work_root(spark: SparkSession) -> str:
     Where the cluster names none (a laptop, a test) a temporary folder is set
     for the session.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="corpusflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="corpusflow-"))
+    return root or context.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -61,20 +61,20 @@ HOP_SQL = """WITH e AS (SELECT event_type, ts, value, CAST(floor(epoch(ts)) AS B
      w AS (SELECT event_type, hop, size, value, (s // hop - k) * hop AS w0 FROM e, h, range(4) r(k)),
      a AS (SELECT event_type, hop, w0, w0 + size AS w1, count(*) AS n, sum(value) AS total,
                   avg(value) AS mean, max(value) AS top FROM w GROUP BY ALL)"""
-HOP_COLS = """event_type, hop, w0 AS w_start, w1 AS w_end, n, round(total, 4) AS total, floor(mean * 1000000 + 0.3) / 1000000 AS mean, top"""
+HOP_COLS = """event_type, hop, strftime(make_timestamp(w0 * 1000000), '%Y-%m-%d %H:%M:%S') AS w_start,
+     strftime(make_timestamp(w1 * 1000000), '%Y-%m-%d %H:%M:%S') AS w_end, n, round(total, 4) AS total, floor(mean * 1000000 + 0.3) / 1000000 AS mean, top"""
 
 
 def tidy_windows(df):
-    """Window bounds as seconds, sums and means cut to a fixed number of digits.
+    """Window bounds as clock times, sums and means cut to a fixed number of digits.
 
     Means are cut off the half, as the engines round exact halves differently.
     """
-    seconds = {c: F.unix_seconds(F.col(c).cast("timestamp")) for c in ("w_start", "w_end")}
-    return df.withColumns(seconds | {"total": F.round("total", 4), "mean": F.floor(F.col("mean") * 1000000 + 0.3) / 1000000})
+    clock = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("w_start", "w_end")}
+    return df.withColumns(clock | {"total": F.round("total", 4), "mean": F.floor(F.col("mean") * 1000000 + 0.3) / 1000000})
 
 
 @query("multires_windows", f"{HOP_SQL} SELECT {HOP_COLS} FROM a")
 def multires_windows(spark, sf):
-    # Zone-less timestamps are windowed as they are; reading them as UTC gives the same bounds.
     out = windows.multires_windows(table(spark, sf, "events"), "ts", HOPS, ["event_type"], "value", FLOOR)
     return tidy_windows(out)

@@ -30,10 +30,15 @@ def normalize_id(c: Column | str) -> Column:
 
 
 def to_number(c: Column | str, dtype: str = "float") -> Column:
-    """Text or number to ``dtype``; whatever is no number becomes NULL."""
+    """Text or number to ``dtype``; whatever is no number becomes NULL.
+
+    For whole-number types a fraction is no number: it is not cut off.
+    """
     text = strip(_col(c).cast("string"))
     value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return value.try_cast(dtype)
+    if dtype in ("float", "double"):
+        return value.try_cast(dtype)
+    return F.when(value % F.lit(1.0) == F.lit(0.0), value).try_cast(dtype)
 
 
 def match_key(c: Column | str) -> Column:

@@ -61,6 +61,19 @@ def imbalance(
     return shares.withColumn("imbalanced", F.coalesce(alarm, F.lit(False)))
 
 
+def flag_imbalance(
+    report: DataFrame,
+    dominant: float = K.DOMINANT_PCT,
+    scarce: float = K.SCARCE_PCT,
+    include_empty: bool = False,
+) -> DataFrame:
+    """The verdict of ``imbalance`` next to the four rows of a distribution report."""
+    whole = Window.partitionBy()  # four rows
+    present = F.col("pct") if include_empty else F.when(F.col("n") > 0, F.col("pct"))
+    alarm = (F.max(present).over(whole) > dominant) | (F.min(present).over(whole) < scarce)
+    return report.withColumn("imbalanced", F.coalesce(alarm, F.lit(False)))
+
+
 def status_class(
     status: Column,
     success: str = K.STATUS_SUCCESS,

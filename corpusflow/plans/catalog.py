@@ -182,4 +182,5 @@ def balance_report(ready: DataFrame, v: str = "valence", e: str = "energy") -> B
     quality.require_columns(ready, [v, e], "training table")
     numbers = quality.coerce_numeric(ready.select(v, e), floats=[v, e]).na.drop(subset=[v, e])
     binned = numbers.select(quadrant(v, e).alias("quadrant"))
-    return BalanceReport(profile.distribution_report(binned), profile.imbalance(binned))
+    report = profile.flag_imbalance(profile.distribution_report(binned))
+    return BalanceReport(report, profile.imbalance(binned))

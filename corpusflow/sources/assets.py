@@ -46,14 +46,15 @@ def asset_summary(
     assets: DataFrame, inventory: DataFrame | None = None, id_col: str = K.ID_COL
 ) -> DataFrame:
     """Number of files, total megabytes and, against an inventory of names, the empty ones."""
-    total = assets.agg(
-        F.count("*").alias("files"),
+    files = assets.select("size", F.lit(False).alias("_empty"))
+    totals = [
+        F.count_if(~F.col("_empty")).alias("files"),
         F.coalesce(F.sum("size") / F.lit(1024.0 * 1024.0), F.lit(0.0)).alias("total_mb"),
-    )
+    ]
     if inventory is None:
-        return total
+        return files.agg(*totals)
     empty = inventory.select(id_col).distinct().join(assets.select(id_col), id_col, "left_anti")
-    # Two one-row tables, put side by side by a constant key.
-    left = total.withColumn("_k", F.lit(1))
-    right = empty.agg(F.count("*").alias("empty")).withColumn("_k", F.lit(1))
-    return left.join(right, "_k").drop("_k")
+    both = files.unionByName(
+        empty.select(F.lit(None).cast("long").alias("size"), F.lit(True).alias("_empty"))
+    )
+    return both.agg(*totals, F.count_if("_empty").alias("empty"))

@@ -29,7 +29,9 @@ def test_to_number(spark):
     raw = ["1.5", " 1.5 ", "1e3", "abc", "1d", "nan", "", None, "+.5", "0x10", "5."]
     want = [1.5, 1.5, 1000.0, None, None, None, None, None, 0.5, None, 5.0]
     assert apply(spark, raw, columns.to_number) == want
-    assert apply(spark, ["7", " 7 ", "x"], lambda c: columns.to_number(c, "int")) == [7, 7, None]
+    whole = ["7", " 7 ", "x", "7.0", "7.5", "inf", "99999999999"]
+    assert apply(spark, whole, lambda c: columns.to_number(c, "int")) == [7, 7, None, 7, None, None, None]
+    assert apply(spark, ["inf"], columns.to_number) == [float("inf")]
 
 
 def test_format_people_text(spark):

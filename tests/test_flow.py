@@ -96,6 +96,7 @@ def test_training_set(spark, master):
 
     report = catalog.balance_report(master.table)
     assert [r["n"] for r in report.report.collect()] == [0, 1, 1, 1] and report.verdict.first()["imbalanced"] is False
+    assert {r["imbalanced"] for r in report.report.collect()} == {False}
 
     numbered = master.table.na.drop(subset=["valence", "energy"])
     made = training.prepare_training(numbered, assets, folds=2)

@@ -47,9 +47,11 @@ def _kind(name: str) -> str:
     return {"bigint": "long"}.get(name, kinds.get(name, name))
 
 
-def compare(spark, con, name, fn, sql, sf_dir) -> tuple[bool, str]:
-    """Names, types and the multiset of rows."""
+def compare(spark, con, name, fn, sql, sf_dir, inspect=None) -> tuple[bool, str]:
+    """Names, types and the multiset of rows; ``inspect`` gets the Spark table first."""
     df = fn(spark, sf_dir)
+    if inspect:
+        inspect(df)
     cols = sorted(df.columns)
     ours = [tuple(_plain(r[c]) for c in cols) for r in df.collect()]
     if sql is None:

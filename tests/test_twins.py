@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as workload
+from workload.registry import ORACLES, QUERIES
 from tools.compare import compare, connect
 
 SF = os.environ.get("TWIN_SF_DIR", "/root/testdata/sf0.001")
@@ -19,7 +20,7 @@ def con():
 PYTHON = {"apply_rows", "format_people_text", "mixup_random_weight"}
 
 
-@pytest.mark.parametrize("name", sorted(workload.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_agrees_with_sql(spark, con, name):
     def inspect(df):
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -27,7 +28,7 @@ def test_agrees_with_sql(spark, con, name):
         if name not in PYTHON:
             assert "Python" not in plan and "InPandas" not in plan
 
-    query, sql = workload.queries()[name], workload.oracle_sql().get(name)
+    query, sql = QUERIES[name], ORACLES.get(name)
     ok, text = compare(spark, con, name, query, sql, SF, inspect)
     assert ok, text
 

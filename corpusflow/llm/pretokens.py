@@ -181,6 +181,6 @@ class Known:
         return self.values[at], self.keys[at] == keys
 
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], np.concatenate([self.values, values])[order]
+        """Remember new keys, given in ascending order."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.values = np.insert(self.keys, at, keys), np.insert(self.values, at, values)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, token_counts
+from corpusflow.llm import bpe, sharding, token_counts
+from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,23 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        "lang",
+        "source",
+    )
+    category = lambda c: F.crc32(F.coalesce(c, F.lit("")).cast("binary")) % 65536
+    dims = [F.col("size"), category("source"), category("lang"), F.col("doc_id")]
+    placed = sharding.kd_shards(docs, F.col("size"), dims, [F.col("doc_id"), F.col("text_crc32")], 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,6 +64,52 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op8_quality_cascade",
+    r"""
+    WITH w AS (
+        SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t,
+               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+        FROM documents),
+    wins AS (SELECT row_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+             FROM (SELECT row_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+    twice AS (SELECT row_id, i FROM (SELECT *, count(*) OVER (PARTITION BY row_id, win) AS n FROM wins) WHERE n > 1),
+    covered AS (SELECT row_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY row_id),
+    lines AS (SELECT row_id, count(*) - count(DISTINCT line) AS n
+              FROM (SELECT row_id, unnest(string_split(t, chr(10))) AS line FROM w)
+              WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row_id),
+    m AS (
+        SELECT doc_id, len(words)::BIGINT AS n_words,
+               length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+               (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+               len(string_split(t, chr(10))) AS n_lines
+        FROM w LEFT JOIN covered c USING (row_id) LEFT JOIN lines l USING (row_id)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 50 * n_lines
+                OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+    FROM b
+    """,
+)
+def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.col("text")
+    ordered = quality.measure_rules(docs, quality.standard_rules(text), ["text"])
+    judged = quality.apply_cascade(docs, [m.rule for m in ordered])
+    counted = judged.select(
+        "doc_id",
+        quality.n_words(text).alias("n_words"),
+        quality.word_chars(text).alias("word_chars"),
+        quality.n_symbols(text).alias("n_symbols"),
+        quality.n_dup_lines(text).alias("n_dup_lines"),
+        quality.n_repeat_words(text).alias("n_repeat_words"),
+        F.col("rejected_by").isNull().alias("kept"),
+    )
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
+
+
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

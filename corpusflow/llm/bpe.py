@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.pretokens import ByteLevel, Known
-from corpusflow.llm.slices import slices
+from corpusflow.llm.slices import bound_batches, slices
 
 # Distinct words whose encodings a worker keeps before it starts anew (about 40 bytes each).
 CACHE_WORDS = 1 << 20
 # Pairs of tokens whose compatibility a worker remembers before it starts anew.
-CACHE_PAIRS = 1 << 20
+CACHE_PAIRS = 1 << 19
 # Token ids decoded at once.
 SLICE_IDS = 1_000_000
 
@@ -229,9 +229,11 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", out: str = "ids")
 
     One row in, one row out, no shuffle: repeated rows are encoded each, an empty table stays empty.
     """
+    bound_batches(df.sparkSession)
     return df.withColumn(out, encode_column(F.col(f"`{text}`"), path))
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of each row's token ids; a column already named ``out`` is replaced."""
+    bound_batches(df.sparkSession)
     return df.withColumn(out, decode_column(F.col(f"`{ids}`"), path))

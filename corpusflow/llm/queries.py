@@ -69,7 +69,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH w AS (
         SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t,
-               list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+               [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
         FROM documents),
     wins AS (SELECT row_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
              FROM (SELECT row_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),

@@ -57,8 +57,9 @@ def _cut(df: DataFrame, cells: list[Cell], live: list[int]) -> None:
     for _ in range(ROUNDS):
         at = F.get("_at", _lookup([c.dim for c in cells], "int", node))
         low, high = (_lookup([getattr(c, k) for c in cells], "double", node) for k in ("low", "high"))
-        place = F.when(node.isin(live) & (at >= low) & (at < high), F.floor((at - low) / (high - low) * BINS))
-        bins = df.withColumn("_bin", F.least(place, F.lit(BINS - 1))).where("_bin is not null")
+        place = F.least(F.floor((at - low) / (high - low) * BINS), F.lit(BINS - 1))
+        inside = node.isin(live) & (at >= low) & (at < high)
+        bins = df.withColumn("_bin", F.when(inside, place)).where("_bin is not null")
         sums = bins.groupBy("_cell", "_bin").agg(F.sum("_weight").alias("w"))
         run = F.sum("w").over(Window.partitionBy("_cell").orderBy("_bin"))
         short = _lookup([c.goal - c.below for c in cells], "double", node)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.pretokens import ByteLevel, Known
-from corpusflow.llm.slices import slices
+from corpusflow.llm.slices import bound_batches, slices
 
 # Rows of the broadcast table; one row has a 64-bit key and a count, so it has 256 KB at most.
 TABLE_ROWS = 16_384
@@ -149,4 +149,5 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
 
     One row in, one row out: repeated rows are counted each, an empty table gives an empty result.
     """
+    bound_batches(df.sparkSession)
     return df.withColumn(out, token_count_column(df, text, path, rows))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, sharding, token_counts
+from corpusflow.llm import bpe, line_dedup, sharding, token_counts, warc
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,14 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_warc")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(warc.archive_pages(table(spark, sf_dir, "pages")))
+    return records.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
@@ -110,6 +118,34 @@ def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
 
 
+@query(
+    "op9_line_dedup",
+    """
+    WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+    lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM cut),
+    firsts AS (SELECT line, min(row(doc_id, pos)) AS first_at FROM lines WHERE length(trim(line, ' ')) >= 20 GROUP BY line),
+    halves AS (
+        SELECT DISTINCT line, first_at, p, side, CASE WHEN side = 'front' THEN left(line, p) ELSE right(line, p) END AS half
+        FROM (SELECT line, first_at, unnest([length(line) // 2, (length(line) - 1) // 2]) AS p FROM firsts),
+             (SELECT unnest(['front', 'back']) AS side)),
+    near AS (
+        SELECT DISTINCT b.line FROM halves a JOIN halves b USING (p, side, half)
+        WHERE a.first_at < b.first_at AND abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) = 1),
+    judged AS (
+        SELECT l.doc_id, l.pos, l.line,
+               f.line IS NOT NULL AND (row(l.doc_id, l.pos) <> f.first_at OR l.line IN (SELECT line FROM near)) AS gone
+        FROM lines l LEFT JOIN firsts f USING (line))
+    SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END AS text,
+           coalesce(k.n, 0)::BIGINT AS dropped_lines
+    FROM documents d LEFT JOIN (
+        SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS n
+        FROM judged GROUP BY doc_id) k USING (doc_id)
+    """,
+)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -188,7 +188,7 @@ def read_archives(index: DataFrame) -> DataFrame:
         from pyarrow import fs
         from zstandard import ZstdDecompressor
 
-        unpack = ZstdDecompressor().decompress
+        unpack = lambda data: ZstdDecompressor().decompressobj().decompress(data)
         path = frame = source = content = None
         frames: list[tuple[int, int, int]] = []
         names = [x.split()[0] for x in RECORDS.split(", ")]
@@ -202,7 +202,9 @@ def read_archives(index: DataFrame) -> DataFrame:
                     path, frame, frames = bundle, None, read_seek_table(source)
                 if number != frame:
                     begin, packed, plain = frames[number]
-                    content, frame = unpack(source.read_at(packed, begin), max_output_size=plain), number
+                    content, frame = unpack(source.read_at(packed, begin)), number
+                    if len(content) != plain:
+                        raise ValueError(f"{bundle}: frame {number} has {len(content)} bytes, not {plain}")
                 found.append(parse_record(content[offset : offset + length]))
                 held += length
                 if held >= FRAME_BYTES * 32:

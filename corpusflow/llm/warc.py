@@ -119,7 +119,7 @@ class _Bundle:
         self._pack = ZstdCompressor(level=3, write_content_size=True).compress
         system, name = fs.FileSystem.from_uri(self.path)
         system.create_dir(name.rpartition("/")[0], recursive=True)
-        self._out = system.open_output_stream(name)
+        self._out = system.open_output_stream(name, compression=None)
         self._records: list[bytes] = []
         self._frames: list[tuple[int, int]] = []
         self._held = self.size = 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, line_dedup, sharding, token_counts, warc
+from corpusflow.llm import bpe, jaccard, line_dedup, sharding, token_counts, warc
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query(
     "op8_quality_cascade",
     r"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, jaccard, line_dedup, sharding, token_counts, warc
+from corpusflow.llm import bpe, jaccard, language_id, line_dedup, sharding, token_counts, warc
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = language_id.fold(F.col("doc_id"), 3)
+    model = language_id.fit_model(docs.where(rest != 1), "text", "lang")
+    found = language_id.identify_languages(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(rest == 1, F.lit(True)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.size("language.spans").alias("n_spans"),
+    )
+
+
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, jaccard, language_id, line_dedup, sharding, token_counts, warc
+from corpusflow.llm import bpe, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    rest = language_id.fold(F.col("doc_id"), 4)
+    model = toxicity.fit_toxicity(docs, labels.where(rest != 2))
+    scored = toxicity.score_toxicity(docs, model, out="score")
+    return scored.select(
+        "doc_id",
+        F.coalesce(rest == 2, F.lit(True)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc
+from corpusflow.llm import bpe, decontaminate, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.col("leaks.item").alias("item_ids"),
+        F.array_min("leaks.edits").alias("least_edits"),
+    )
+
+
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -73,10 +73,13 @@ def near_lines(lines: DataFrame) -> DataFrame:
         "at", "h",
         F.explode(F.transform(F.sequence("low", "high"), lambda i: F.struct(cut(i).alias("v"), i.alias("i")))).alias("x"),
     )
-    placed = variants.select(F.xxhash64("x.v", "x.i").alias("key"), F.lit(0).alias("kind"), "at", "h")
-    plain = variants.select(F.col("x.v").alias("key"), F.lit(1).alias("kind"), "at", "h")
+    # Both keys of a variant come from one evaluation of it: most of the work is here.
+    keys = F.array(
+        F.struct(F.xxhash64("x.v", "x.i").alias("key"), F.lit(0).alias("kind")), F.struct(F.col("x.v").alias("key"), F.lit(1).alias("kind"))
+    )
+    left_out = variants.select("at", "h", F.explode(keys).alias("k")).select("k.key", "k.kind", "at", "h")
     itself = found.select(F.col("h").alias("key"), F.lit(2).alias("kind"), "at", "h")
-    emitted = placed.unionByName(plain).unionByName(itself)
+    emitted = left_out.unionByName(itself)
     first = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("at", "h")))
     groups = emitted.groupBy("key").agg(
         first(0).alias("k0"), first(1).alias("k1"), first(2).alias("k2"), F.min("h").alias("low"), F.max("h").alias("high")

@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from corpusflow.functions.columns import match_key
 from corpusflow.operators.index import dense_index
 
-# Up to this many rows a sorted limit ends in one partition; beyond it the rows
-# are numbered in parallel and filtered.
-SORTED_LIMIT_ROWS = 1_000_000
-
 
 def dedup_first(
     df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[str | Column]
@@ -38,10 +34,25 @@ def dedup_by_match_key(
 
 
 def cap(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
-    """The first ``n`` rows in arrival order."""
-    if n <= SORTED_LIMIT_ROWS:
-        return df.orderBy(*order_by).limit(max(n, 0))
-    return dense_index(df, order_by, "_pos").filter(F.col("_pos") < n).drop("_pos")
+    """The first ``n`` rows in arrival order; ``order_by`` has to be unique.
+
+    Only the order columns are numbered; rows pass that do not come after the
+    n-th of them. Names sort ascending, NULL first.
+    """
+    if n <= 0:
+        return df.limit(0)
+    names = [f"_o{i}" for i in range(len(order_by))]
+    keys = df.select(*[_column(c).alias(name) for c, name in zip(order_by, names)])
+    last = dense_index(keys, names, "_pos").filter(F.col("_pos") == n - 1).drop("_pos").first()
+    if last is None:
+        return df
+    kinds = dict(keys.dtypes)
+    bound = F.struct(*[F.lit(last[name]).cast(kinds[name]).alias(name) for name in names])
+    return df.filter(F.struct(*[_column(c).alias(name) for c, name in zip(order_by, names)]) <= bound)
+
+
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def admit_new(

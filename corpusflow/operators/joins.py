@@ -90,8 +90,27 @@ def attach_preferred_asset(
     path: str = "path",
     order: Sequence[str] = K.ASSET_EXTENSIONS,
 ) -> DataFrame:
-    """Add the asset with the first available extension; rows without one drop out."""
+    """Add the asset with the first available extension; rows without one drop out.
+
+    ``asset_losses`` counts those.
+    """
     rank = F.array_position(F.array(*[F.lit(e) for e in order]), F.col(extension))
     ranked = assets.select(on, extension, path, rank.alias("_rank_ext")).filter("_rank_ext > 0")
     best = dedup_first(ranked, [on], ["_rank_ext", path]).drop("_rank_ext")
     return df.join(best, on, "inner")
+
+
+def asset_losses(
+    df: DataFrame,
+    assets: DataFrame,
+    on: str,
+    extension: str = "ext",
+    order: Sequence[str] = K.ASSET_EXTENSIONS,
+) -> DataFrame:
+    """One row: rows that have an asset of an accepted extension, and rows dropped for lack of one."""
+    accepted = assets.filter(F.col(extension).isin(list(order))).select(on).distinct()
+    marked = df.select(on).join(accepted.withColumn("_has", F.lit(True)), on, "left")
+    return marked.agg(
+        F.count_if(F.col("_has").isNotNull()).alias("with_asset"),
+        F.count_if(F.col("_has").isNull()).alias("without_asset"),
+    )

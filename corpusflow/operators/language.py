@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow import constants as K
-from corpusflow.functions.columns import strip
 from corpusflow.functions.text import letters_only, trigrams
 from corpusflow.session import BROADCAST_BYTES, broadcast_if_small, stage
 
+# Share of a text's trigrams that some profile has to know, as a fraction 1 / KNOWN_PART.
+KNOWN_PART = 2
 # Log-probabilities are kept as whole millionths: their sums are exact and do
 # not depend on the order in which tasks add them up.
 SCORE_UNIT = 1_000_000
@@ -77,7 +78,8 @@ def detect_language(
     """(key, language): the language under which the text is most likely.
 
     Ties go to the first code. A text without letters, or just a note mark, is
-    ``unknown``. The whole text counts unless ``sample_chars`` says otherwise.
+    ``unknown``, and so is one of whose trigrams no profile knows half: in a
+    script or language that was not taught there is no evidence for any. The whole text counts unless ``sample_chars`` says otherwise.
     Profiles within the broadcast limit go to every task: tasks add up the
     scores of their own texts and shuffle one row per text. Larger profiles are
     met by a shuffled join of (text, trigram) counts.
@@ -91,19 +93,15 @@ def detect_language(
     scored = pieces.join(broadcast_if_small(profiles.table, profiles.size_bytes), "gram", "left")
     sums = scored.groupBy(key).agg(
         F.sum("_m").alias("_grams"),
+        F.sum(F.when(F.col(weights[0]).isNotNull(), F.col("_m")).otherwise(F.lit(0))).alias("_known"),
         *[
             F.sum(F.coalesce(w, F.lit(u)) * F.col("_m")).alias(w)
             for w, u in zip(weights, profiles.unseen)
         ],
     )
     best = F.greatest(*weights) if len(weights) > 1 else F.col(weights[0])
-    choice = F.when(F.col("_grams") == 0, F.lit(K.UNKNOWN_LANGUAGE))
+    strange = (F.col("_grams") == 0) | (F.col("_known") * KNOWN_PART < F.col("_grams"))
+    choice = F.when(strange, F.lit(K.UNKNOWN_LANGUAGE))
     for w, language in zip(weights, profiles.languages):
         choice = choice.when(F.col(w) == best, F.lit(language))
     return sums.select(key, choice.alias(name))
-
-
-def is_unreadable(text: Column | str) -> Column:
-    """Texts no detector is asked about: missing, blank, or a lone note mark."""
-    body = strip(text)
-    return F.coalesce((body == "") | (body == K.NOTE_MARK), F.lit(True))

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.columns import quadrant, quadrant_name
 from corpusflow.operators.sampling import fold_split
+from corpusflow.session import stage
+
+# More folds than this are a wrong column, not a plan.
+MAX_FOLDS = 100
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -40,19 +44,24 @@ def cross_fit(
     targets: tuple[str, str],
     fold: str = "fold",
     weight: str | None = None,
-    folds: int = 5,
     keep: Sequence[str] = (),
     parallelism: int = 4,
 ) -> DataFrame:
     """Predict every row with models that never saw its fold.
 
-    One weighted regression per fold and target, each fitted by a distributed
-    aggregation; ``parallelism`` folds are submitted at a time. Returns (``keep``,
-    fold, y_v, y_e, p_v, p_e), predictions in [0, 1].
+    The folds are those of the ``fold`` column; a row without a fold, and more
+    than ``MAX_FOLDS`` of them, are an error. One weighted regression per fold and
+    target, each fitted by a distributed aggregation; ``parallelism`` folds are
+    submitted at a time. Returns (``keep``, fold, y_v, y_e, p_v, p_e) for every
+    row, predictions in [0, 1], as a stored table.
     """
     needed = list(dict.fromkeys([*keep, fold, "_features", *targets, *([weight] if weight else [])]))
     rows = _assembler(features).transform(df).select(*needed)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    folds = [r[0] for r in rows.select(fold).distinct().limit(MAX_FOLDS + 1).collect()]
+    if None in folds or len(folds) > MAX_FOLDS:
+        rows.unpersist()
+        raise ValueError(f"{fold} has rows without a fold" if None in folds else f"{fold} has more than {MAX_FOLDS} values")
 
     def held_out(i: int) -> DataFrame:
         train, test = fold_split(rows, i, fold)
@@ -67,9 +76,14 @@ def cross_fit(
             _clip("p_e"),
         )
 
-    with ThreadPool(min(parallelism, folds)) as pool:
-        parts = pool.map(inheritable_thread_target(df.sparkSession)(held_out), range(folds))
-    return reduce(DataFrame.unionByName, parts)
+    with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+        parts = pool.map(inheritable_thread_target(df.sparkSession)(held_out), sorted(folds))
+    if not parts:
+        empty = rows.select(*keep, fold, *[F.lit(0.0).alias(c) for c in ("y_v", "y_e", "p_v", "p_e")])
+        return empty.limit(0)
+    predicted = stage(reduce(DataFrame.unionByName, parts), "cross-fit")
+    rows.unpersist()
+    return predicted
 
 
 def fit_final(

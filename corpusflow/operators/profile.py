@@ -126,7 +126,7 @@ def coverage(
     return df.agg(
         F.count("*").alias("n_rows"),
         *[
-            (F.count(F.col(c)) if c in df.columns else F.lit(0).cast("long")).alias(f"n_{c}")
+            (F.count(F.col(f"`{c}`")) if c in df.columns else F.lit(0).cast("long")).alias(f"n_{c}")
             for c in cols
         ],
     ).select(
@@ -143,9 +143,10 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str, classes: int | None = None) -> DataFrame:
     """Weight n / (classes * class count) for each class.
 
-    ``classes`` defaults to the number of classes present.
+    ``classes`` defaults to the number of classes present. Rows without a label
+    are no class and are not counted.
     """
-    counts = class_counts(df, label)
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
     whole = Window.partitionBy()  # one row per class
     k = F.count("*").over(whole) if classes is None else F.lit(classes)
     weight = F.sum("n_class").over(whole) / (k * F.col("n_class"))
@@ -153,12 +154,12 @@ def class_weights(df: DataFrame, label: str, classes: int | None = None) -> Data
 
 
 def attach_class_weights(df: DataFrame, label: str, classes: int | None = None) -> DataFrame:
-    """Every row with the weight of its class.
+    """Every row with the weight of its class; NULL for rows without a label.
 
     The class table is stored and counted first: the few classes of a balanced
     task are broadcast, so a class with most of the rows is not gathered anywhere.
     """
     weights = stage(class_weights(df, label, classes).select(label, "weight"), "class-weights")
-    return df.join(broadcast_if_small(weights, weights.count() * CLASS_ROW_BYTES), label)
+    return df.join(broadcast_if_small(weights, weights.count() * CLASS_ROW_BYTES), label, "left")
 
 

@@ -1,61 +1,38 @@
-"""The two places where Python runs inside tasks."""
+"""People lists in text form, and the one place where a caller's Python runs inside tasks."""
 
 from __future__ import annotations
 
-import ast
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow.functions.columns import _col, people_names, strip
 
-_PEOPLE_SCHEMA = "array<struct<name: string, profile: struct<name: string>>>"
-
-
-def _names_in(text: str | None) -> str:
-    if text is None or not text.strip():
-        return ""
-    try:
-        value = ast.literal_eval(text)
-    except (ValueError, SyntaxError, MemoryError, RecursionError):
-        return text.strip()
-    if not isinstance(value, list):
-        return text.strip()
-    found = []
-    for entry in value:
-        if isinstance(entry, dict):
-            nested = entry.get("profile")
-            entry = entry.get("name") or (nested.get("name") if isinstance(nested, dict) else None)
-        if isinstance(entry, str) and entry:
-            found.append(entry.strip())
-    return ", ".join(found)
-
-
-@F.pandas_udf(T.StringType())
-def _literal_names(texts: pd.Series) -> pd.Series:
-    return texts.map(_names_in)
+_PERSON = "struct<name: string, profile: struct<name: string>>"
+# An element that is None, not a word inside a name.
+_BARE_NONE = r"(?<=[\[,:]\s{0,9})None(?=\s*[,\]}])"
 
 
 def format_people_text(c: Column | str) -> Column:
-    """Names in the text form of a list (``[{'name': …}, …]``), comma-joined.
+    """Names in the text form of a list (``[{'name': …}, 'B', None]``), comma-joined.
 
-    Well-formed lists of objects are read natively; texts that are no list come
-    back stripped. Only other literals (``None``, mixed elements) are handed to
-    Python, in Arrow batches.
+    Elements are objects with a name (or a profile with one) or plain texts;
+    quotes may be single or double, ``None`` counts as missing. A text that is no
+    list, or a broken one, comes back stripped; NULL gives an empty text.
     """
     text = _col(c)
-    parsed = F.from_json(text, _PEOPLE_SCHEMA)
-    names = people_names(parsed, struct=True)
     body = strip(F.coalesce(text, F.lit("")))
-    # An element the schema does not cover leaves a hole in the parsed array.
-    whole = F.coalesce(F.size(names) == F.size(parsed), F.lit(False)) & (F.size(parsed) > 0)
-    list_like = body.startswith("[")
-    # CASE does not keep a Python UDF off the rows of other branches: those see NULL.
-    rest = _literal_names(F.when(list_like & ~whole, text))
-    return F.when(whole, F.array_join(names, ", ")).when(list_like, rest).otherwise(body)
+    elements = F.from_json(F.regexp_replace(body, _BARE_NONE, "null"), "array<string>")
+    person = lambda x: F.from_json(x, _PERSON)
+    entries = F.transform(
+        elements,
+        lambda x: F.when(x.startswith("{"), person(x)).otherwise(
+            F.struct(x.alias("name"), F.lit(None).cast("struct<name: string>").alias("profile"))
+        ),
+    )
+    names = F.array_join(people_names(entries, struct=True), ", ")
+    return F.when(body.startswith("["), F.coalesce(names, body)).otherwise(body)
 
 
 def apply_rows(df: DataFrame, fn: Callable, schema: str) -> DataFrame:

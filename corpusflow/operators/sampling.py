@@ -113,12 +113,17 @@ def mixup(
     Batches of ``size`` follow the key; inside one, row i meets the row that a
     seeded shuffle puts at place i. One lambda per batch, Beta(alpha, alpha)
     unless ``lam`` fixes it. Other columns stay. Adds ``batch`` and ``partner``.
+    Rows without a key are in no batch: they come back as they are, with NULL
+    for batch, lambda and partner.
     """
+    keyless = df.filter(F.col(f"`{key}`").isNull())
+    df = df.filter(F.col(f"`{key}`").isNotNull())
     # Only the keys are numbered (and checkpointed); the arrays join by key.
     batches = df.join(chunk(df.select(key), size, [key]), key)
     if alpha <= 0 and lam is None:
-        return batches.drop("pos").withColumn("partner", F.col(key))
-    row = F.struct(*[F.col(c) for c in df.columns])
+        whole = batches.drop("pos").withColumn("partner", F.col(key))
+        return whole.unionByName(keyless, allowMissingColumns=True)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     # A group holds at most ``size`` rows.
     grouped = batches.groupBy("batch").agg(
         F.array_sort(F.collect_list(F.struct("pos", row.alias("row")))).alias("_rows"),
@@ -137,7 +142,7 @@ def mixup(
         "batch", "lam", F.explode(F.arrays_zip("_rows", "_others")).alias("p")
     )
     mine, other = F.col("p._rows.row"), F.col("p._others.row")
-    return pairs.select(
+    mixed = pairs.select(
         "batch",
         "lam",
         other[key].alias("partner"),
@@ -146,6 +151,7 @@ def mixup(
             for c in df.columns
         ],
     )
+    return mixed.unionByName(keyless, allowMissingColumns=True)
 
 
 def eval_batches(

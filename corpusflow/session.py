@@ -37,12 +37,15 @@ def build_session(app: str = "corpusflow", master: str | None = None, **conf: st
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where the cluster names none (a laptop, a test) a temporary folder is set
-    for the session.
+    Where none is named, a session with a ``local`` master (a laptop, a test) gets
+    a temporary folder. On any other master that would be a folder which only the
+    driver has, so it is an error.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if root is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="corpusflow-"))
     return root or context.getCheckpointDir()
 
@@ -58,16 +61,6 @@ def fix_rows(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input with fewer splits than cores out to all cores.
-
-    For work that costs much more than moving the rows. An input with enough
-    splits, as every large one has, is passed on without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint for a table whose measured size is within the limit, else the table as it is."""
     return F.broadcast(df) if size_bytes <= limit else df

@@ -10,15 +10,17 @@ from corpusflow.functions.columns import strip
 
 
 def scan_assets(
-    spark: SparkSession, folder: str, suffix: str = ".mp3", id_col: str = K.ID_COL
+    spark: SparkSession, folder: str, suffix: str = ".mp3", id_col: str = K.ID_COL, glob: str | None = None
 ) -> DataFrame:
     """(id, path, size) of non-empty files with the suffix; contents are not read.
 
+    ``glob`` names the files if not all that end in the suffix are meant.
+
     The identifier is the file name without its suffix. Spark's file source
     leaves zero-length files out.
     """
     files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
+        spark.read.format("binaryFile").option("pathGlobFilter", glob or f"*{suffix}").load(folder)
     )
     name = F.element_at(F.split("path", "/"), -1)
     listed = files.select("path", F.col("length").alias("size"), name.alias("_name"))
@@ -32,14 +34,14 @@ def scan_all_assets(
     suffixes: list[str] = K.ASSET_EXTENSIONS,
     id_col: str = K.ID_COL,
 ) -> DataFrame:
-    """(id, ext, path, size) of all accepted extensions."""
-    parts = [
-        scan_assets(spark, folder, s, id_col).withColumn("ext", F.lit(s)) for s in suffixes
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """(id, ext, path, size) of all accepted extensions, from one listing of the folder."""
+    found = scan_assets(spark, folder, "", id_col, "*{" + ",".join(suffixes) + "}")
+    out = found.withColumn("ext", F.lit(None).cast("string"))
+    for suffix in suffixes:
+        ends = F.col(id_col).endswith(suffix)
+        out = out.withColumn("ext", F.coalesce("ext", F.when(ends, F.lit(suffix))))
+    stem = F.substring(id_col, F.lit(1), F.length(id_col) - F.length("ext"))
+    return out.select(strip(stem).alias(id_col), "path", "size", "ext")
 
 
 def asset_summary(

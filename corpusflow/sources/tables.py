@@ -64,7 +64,11 @@ def write_id_list(df: DataFrame, key: str, path: str, mode: str = "append") -> N
 def read_if_present(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if there is nothing yet."""
+    """The Parquet table at ``path``, or None if there is nothing yet.
+
+    A folder of Parquet files may be half a table; ``materialize_once`` asks for
+    the success marker too.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(path)
@@ -77,9 +81,17 @@ def read_if_present(
 def materialize_once(
     spark: SparkSession, build: Callable[[], DataFrame], path: str
 ) -> DataFrame:
-    """The stored table if there is one, else build it, store it and read it back."""
-    stored = read_if_present(spark, path)
-    if stored is None:
+    """The stored table if it was finished, else build it, store it and read it back.
+
+    Finished is what has the success marker of its writer; files that a failed
+    job left are written over.
+    """
+    if not is_finished(spark, path):
         build().write.mode("overwrite").parquet(path)
-        stored = spark.read.parquet(path)
-    return stored
+    return spark.read.parquet(path)
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Does the table's folder have the marker that a committed write leaves?"""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

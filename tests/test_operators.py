@@ -76,11 +76,12 @@ def test_admit_new_stops_at_target(spark):
     assert rows(dedup.admit_new(batch, seen, "k", ["seq"], target=1)) == []
 
 
-def test_cap_beyond_the_sorted_limit(spark, monkeypatch):
-    df = spark.range(100).repartition(5)
-    small = rows(dedup.cap(df, 30, ["id"]))
-    monkeypatch.setattr(dedup, "SORTED_LIMIT_ROWS", 10)
-    assert rows(dedup.cap(df, 30, ["id"])) == small == sorted(((i,) for i in range(30)), key=repr)
+def test_cap_numbers_keys_only(spark):
+    df = spark.range(100).withColumn("wide", F.repeat(F.lit("x"), 1000)).repartition(5)
+    assert sorted(r["id"] for r in dedup.cap(df, 30, ["id"]).collect()) == list(range(30))
+    assert dedup.cap(df, 0, ["id"]).count() == 0 and dedup.cap(df, 500, ["id"]).count() == 100
+    two = spark.createDataFrame([(None, 2), (1, 1), (1, 0), (0, 5)], "a int, b int")
+    assert rows(dedup.cap(two, 3, ["a", "b"])) == sorted([(None, 2), (0, 5), (1, 0)], key=repr)
 
 
 @pytest.mark.parametrize("partitions", [1, 6])
@@ -150,12 +151,58 @@ def test_join_lines_in_parts(spark):
     df = spark.createDataFrame([(1, i, f" l{i} " if i != 3 else " ") for i in range(7)] + [(2, 0, "")], "k int, o int, t string")
     whole = joins_text(lines.join_lines(df, "k", "o", "t"))
     parts = joins_text(lines.join_lines(df, "k", "o", "t", lines_per_part=2))
-    assert whole[(1, 0)] == "l0\nl1\nl2\nl4\nl5\nl6" and whole[(2, 0)] == K.NO_TEXT
-    assert "\n".join(parts[(1, p)] for p in range(4)) == whole[(1, 0)]
+    assert whole[1] == "l0\nl1\nl2\nl4\nl5\nl6" and whole[2] == K.NO_TEXT
+    assert "\n".join(parts[(1, p)] for p in range(4)) == whole[1]
+
+
+def test_join_lines_takes_any_line_numbers(spark):
+    df = spark.createDataFrame([(1, n, f"l{n}") for n in (9_999, 10_000, 1_700_000_000, -5)], "k int, o long, t string")
+    want = "l-5\nl9999\nl10000\nl1700000000"
+    assert joins_text(lines.join_lines(df, "k", "o", "t")) == {1: want}
+    assert joins_text(lines.join_lines(df, "k", "o", "t", lines_per_part=3)) == {(1, 0): want.rpartition("\n")[0], (1, 1): "l1700000000"}
 
 
 def joins_text(df):
-    return {(r["k"], r["part"]): r["t"] for r in df.collect()}
+    return {((r["k"], r["part"]) if "part" in df.columns else r["k"]): r["t"] for r in df.collect()}
+
+
+def test_weights_leave_out_rows_without_a_label(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, c string")
+    got = {r["id"]: r["weight"] for r in profile.attach_class_weights(df, "c").collect()}
+    assert got == {1: 0.75, 2: 0.75, 3: 1.5, 4: None}
+
+
+def test_cross_fit_takes_its_folds_from_the_data(spark):
+    df = spark.range(100).select("id", (F.col("id") % 10).cast("int").alias("fold"), (F.col("id") / 100).alias("x"))
+    df = df.withColumns({"v": F.col("x"), "e": 1 - F.col("x")})
+    got = modeling.cross_fit(df, ["x"], ("v", "e"), keep=["id"]).collect()
+    assert sorted(r["id"] for r in got) == list(range(100))
+    assert all(abs(r["p_v"] - r["y_v"]) < 1e-6 and abs(r["p_e"] - r["y_e"]) < 1e-6 for r in got)
+    with pytest.raises(ValueError):
+        modeling.cross_fit(df.withColumn("fold", F.when(F.col("id") > 0, F.col("fold"))), ["x"], ("v", "e"))
+
+
+def test_mixup_keeps_rows_without_a_key_and_dotted_names(spark):
+    df = spark.createDataFrame([(1, [1.0], "p"), (None, [2.0], "q"), (None, [3.0], "r")], "k int, v array<double>, `a.b` string")
+    got = sorted((r["k"] or 0, r["v"], r["a.b"], r["batch"]) for r in sampling.mixup(df, "k", ["v"], lam=0.5).collect())
+    assert [g[:3] for g in got] == [(0, [2.0], "q"), (0, [3.0], "r"), (1, [1.0], "p")] and got[0][3] is None
+
+
+def test_coverage_of_dotted_names(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "id int, `a.b` string")
+    row = profile.coverage(df, ["a.b", "zz"]).first().asDict()
+    assert row["n_rows"] == 2 and row["n_a.b"] == 1 and row["n_zz"] == 0
+
+
+def test_work_folder_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from corpusflow import session
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError):
+        session.work_root(fake)
 
 
 def test_vocab_and_encoding(spark):

@@ -17,7 +17,7 @@ def con():
 
 
 # The Python hooks, and one random weight per batch; all else stays in the JVM.
-PYTHON = {"apply_rows", "format_people_text", "mixup_random_weight"}
+PYTHON = {"apply_rows", "mixup_random_weight"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

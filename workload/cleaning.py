@@ -265,6 +265,15 @@ def preferred_asset(spark, sf):
     return joins.attach_preferred_asset(docs, document_assets(spark, sf), "doc_id")
 
 
+@query(
+    "asset_losses",
+    f"""SELECT count(*) FILTER (ext IS NOT NULL) AS with_asset, count(*) FILTER (ext IS NULL) AS without_asset
+        FROM (SELECT {EXT_SQL} AS ext FROM documents)""",
+)
+def asset_losses(spark, sf):
+    return joins.asset_losses(table(spark, sf, "documents").select("doc_id"), document_assets(spark, sf), "doc_id")
+
+
 @query(
     "dedup_first",
     f"""SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem
@@ -334,9 +343,9 @@ def concat_tables(spark, sf):
 
 @query(
     "id_difference",
-    "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "SELECT l_orderkey AS k FROM lineitem EXCEPT SELECT doc_id FROM documents",
 )
 def id_difference(spark, sf):
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
-    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
-    return dedup.id_difference(customers, orders, "k")
+    orders = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"))
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("k"))
+    return dedup.id_difference(orders, docs, "k")

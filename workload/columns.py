@@ -183,7 +183,7 @@ def valid_url(spark, sf):
 
 @query(
     "join_lines",
-    r"""SELECT conv_id, CAST(0 AS BIGINT) AS part,
+    r"""SELECT conv_id,
                string_agg(regexp_replace(text, '^\s+|\s+$', '', 'g'), chr(10) ORDER BY turn)
                  FILTER (WHERE regexp_replace(text, '^\s+|\s+$', '', 'g') <> '') AS text
         FROM conversations GROUP BY conv_id""",
@@ -192,6 +192,19 @@ def join_lines(spark, sf):
     return lines.join_lines(table(spark, sf, "conversations"), "conv_id", "turn", "text")
 
 
+@query(
+    "join_lines_parts",
+    r"""WITH p AS (SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 2 AS part,
+                          regexp_replace(text, '^\s+|\s+$', '', 'g') AS line FROM conversations)
+        SELECT conv_id, part, coalesce(string_agg(line, chr(10) ORDER BY turn) FILTER (line <> ''), 'No Lyrics') AS text
+        FROM p GROUP BY 1, 2""",
+)
+def join_lines_parts(spark, sf):
+    """Parts of two lines by rank; the line numbers themselves have wide gaps."""
+    turns = table(spark, sf, "conversations").withColumn("turn", F.col("turn").cast("long") * 1_000_003)
+    return lines.join_lines(turns, "conv_id", "turn", "text", lines_per_part=2)
+
+
 @query(
     "clean_lines",
     r"""SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)),

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from corpusflow.operators.language import fit_language_profiles
 from corpusflow.operators.vocab import stored_vocab
 from corpusflow.plans import catalog, training
-from corpusflow.session import spread
 from workload.cleaning import EXT_SQL, KEYWORDS, LINE_ORDER, document_assets
 from workload.profiles import _NAMES, _rounded, _sql, MEASURES, PREDICTIONS, predictions
-from workload.registry import documents, query, table
+from workload.registry import dealt, documents, query, table
 from workload.samples import u48
 from workload.texts import ENCODED, language_sql, vocab_sql
 
@@ -37,7 +36,7 @@ def curate_catalog(spark, sf):
         F.col("p_retailprice").alias("duration_ms"),
         F.col("p_partkey").alias("seq"),
     )
-    features = spread(table(spark, sf, "lineitem")).select(
+    features = dealt(table(spark, sf, "lineitem")).select(
         F.col("l_partkey").cast("string").alias("Spotify_ID"),
         (F.col("l_discount") * 10).alias("energy"),
         (F.col("l_quantity") / 50).alias("valence"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.session import work_path
-from corpusflow.sources import assets, items, tables
+from corpusflow.sources import items, tables
 from workload.registry import query, table
 
 
@@ -61,18 +61,6 @@ def materialize_once(spark, sf):
     return tables.materialize_once(spark, lambda: counts.limit(0), path)
 
 
-@query("asset_listing")
-def asset_listing(spark, sf):
-    """The given files themselves, by name and size: file sizes are unknown to SQL."""
-    return assets.scan_assets(spark, sf, ".parquet", "name").select("name", "size")
-
-
-@query("asset_summary")
-def asset_summary(spark, sf):
-    listed = assets.scan_assets(spark, sf, ".parquet", "name")
-    return assets.asset_summary(listed, listed.select("name"), "name")
-
-
 def _page(spark, sf):
     """One response page per part, in either layout."""
     k = F.col("p_partkey") % 4

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -24,8 +22,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts, dealt out to all cores where the file has only a few splits."""
-    return spread(table(spark, sf_dir, "documents"))
+    """The texts, dealt out evenly: a file of one row group is one split, whatever the scan settings."""
+    return dealt(table(spark, sf_dir, "documents"))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

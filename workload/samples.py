@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.columns import quadrant
 from corpusflow.operators import modeling, profile, sampling
-from corpusflow.session import spread, work_path
+from corpusflow.session import work_path
 from workload.profiles import axes
 from workload.registry import query, table
 
@@ -80,12 +80,24 @@ def mixup(spark, sf):
     return rows.withColumn("x", F.round("x", 5))
 
 
-@query("mixup_random_weight")
+@query(
+    "mixup_random_weight",
+    """SELECT batch, count(*) AS n, CAST(1 AS BIGINT) AS lams, true AS in_range, true AS is_mix
+       FROM (SELECT (row_number() OVER (ORDER BY vec_id) - 1) // 64 + 1 AS batch FROM embeddings) GROUP BY 1""",
+)
 def mixup_random_weight(spark, sf):
-    """One Beta draw per batch: no SQL twin."""
-    mixed = sampling.mixup(_vectors(spark, sf), "vec_id", ["embedding", "labels"])
-    return mixed.groupBy("batch").agg(
-        F.count("*").alias("n"), F.min("lam").alias("lam"), F.countDistinct("lam").alias("lams")
+    """The weight is random; what has to hold of it is not: one per batch, in [0, 1], and the rows mixed by it."""
+    vectors = _vectors(spark, sf)
+    mixed = sampling.mixup(vectors, "vec_id", ["embedding", "labels"])
+    own = vectors.select("vec_id", F.col("labels").alias("own"))
+    other = vectors.select(F.col("vec_id").alias("partner"), F.col("labels").alias("other"))
+    rows = mixed.join(own, "vec_id").join(other, "partner")
+    want = F.col("lam") * F.get("own", F.lit(0)) + (1 - F.col("lam")) * F.get("other", F.lit(0))
+    return rows.groupBy("batch").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("lam").alias("lams"),
+        F.bool_and(F.col("lam").between(0.0, 1.0)).alias("in_range"),
+        F.bool_and(F.abs(F.get("labels", F.lit(0)) - want) < 1e-9).alias("is_mix"),
     )
 
 
@@ -100,38 +112,67 @@ def eval_batches(spark, sf):
 
 
 def _items(spark, sf):
-    rows = spread(table(spark, sf, "lineitem")).select(
-        F.xxhash64("*").alias("row_id"),
+    rows = table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"),
         (F.col("l_quantity") / 50).alias("v"),
         (F.col("l_discount") * 10).alias("e"),
         "l_extendedprice",
-        "l_tax",
-        "l_linenumber",
     )
     return rows.withColumn("quadrant", quadrant("v", "e"))
 
 
-FEATURES = ["l_extendedprice", "l_tax", "l_linenumber"]
+FEATURES = ["l_extendedprice"]
+# Weighted regression on one feature in closed form: sums of weight, x, y, their squares and products.
+_ITEMS_SQL = """i AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id, CAST(l_extendedprice AS DOUBLE) AS x,
+                             CAST(l_quantity AS DOUBLE) / 50 AS v, CAST(l_discount AS DOUBLE) * 10 AS e FROM lineitem),
+        q AS (SELECT *, CASE WHEN v >= 0.5 THEN 2 ELSE 0 END + CASE WHEN e >= 0.5 THEN 1 ELSE 0 END AS quadrant FROM i),
+        w AS (SELECT *, count(*) OVER () / (4.0::DOUBLE * count(*) OVER (PARTITION BY quadrant)) AS w FROM q)"""
+_SUMS_SQL = """sum(w) AS s, sum(w * x) AS sx, sum(w * x * x) AS sxx, sum(w * v) AS sv, sum(w * x * v) AS sxv,
+               sum(w * e) AS se, sum(w * x * e) AS sxe"""
+_LINES_SQL = """(s * sxv - sx * sv) / (s * sxx - sx * sx) AS bv, (s * sxe - sx * se) / (s * sxx - sx * sx) AS be, s, sx, sv, se"""
+_PREDICTED_SQL = """least(greatest((sv - bv * sx) / s + bv * x, 0), 1) AS p_v, least(greatest((se - be * sx) / s + be * x, 0), 1) AS p_e"""
 
 
-@query("cross_fit")
+@query(
+    "cross_fit",
+    f"""WITH {_ITEMS_SQL},
+        f AS (SELECT *, CAST((row_number() OVER (ORDER BY quadrant, {u48("'42:' || row_id")}, row_id) - 1) % 5 AS INTEGER) AS fold FROM w),
+        own AS (SELECT fold, {_SUMS_SQL} FROM f GROUP BY fold), total AS (SELECT {_SUMS_SQL} FROM f),
+        train AS (SELECT fold, t.s - o.s AS s, t.sx - o.sx AS sx, t.sxx - o.sxx AS sxx, t.sv - o.sv AS sv,
+                         t.sxv - o.sxv AS sxv, t.se - o.se AS se, t.sxe - o.sxe AS sxe FROM own o, total t),
+        line AS (SELECT fold, {_LINES_SQL} FROM train),
+        p AS (SELECT f.*, {_PREDICTED_SQL} FROM f JOIN line USING (fold))
+        SELECT fold, round(1 - sum((v - p_v) ** 2) / (var_pop(v) * count(*)), 6) AS r2_v,
+               round(1 - sum((e - p_e) ** 2) / (var_pop(e) * count(*)), 6) AS r2_e,
+               round(avg(CAST((v >= 0.5) = (p_v >= 0.5) AS DOUBLE)) * 100, 6) AS acc_v,
+               round(avg(CAST((e >= 0.5) = (p_e >= 0.5) AS DOUBLE)) * 100, 6) AS acc_e,
+               round(avg(CAST((v >= 0.5) = (p_v >= 0.5) AND (e >= 0.5) = (p_e >= 0.5) AS DOUBLE)) * 100, 6) AS acc_4q
+        FROM p GROUP BY fold""",
+)
 def cross_fit(spark, sf):
-    """Out-of-fold measures of weighted regressions: iterative fits, no SQL twin."""
+    """Out-of-fold measures of weighted regressions on one feature."""
     from corpusflow.operators.metrics import fold_metrics
 
     weighted = profile.attach_class_weights(_items(spark, sf), "quadrant", classes=4)
     folded = sampling.stratified_folds(weighted, "row_id", "quadrant")
-    return fold_metrics(modeling.cross_fit(folded, FEATURES, ("v", "e"), weight="weight"))
+    measured = fold_metrics(modeling.cross_fit(folded, FEATURES, ("v", "e"), weight="weight"))
+    return measured.select("fold", *[F.round(c, 6).alias(c) for c in ("r2_v", "r2_e", "acc_v", "acc_e", "acc_4q")])
 
 
-@query("fit_and_score")
+@query(
+    "fit_and_score",
+    f"""WITH {_ITEMS_SQL}, total AS (SELECT {_SUMS_SQL} FROM w), line AS (SELECT {_LINES_SQL} FROM total),
+        p AS (SELECT w.*, {_PREDICTED_SQL} FROM w, line),
+        n AS (SELECT *, CAST(CASE WHEN p_v >= 0.5 THEN 2 ELSE 0 END + CASE WHEN p_e >= 0.5 THEN 1 ELSE 0 END AS INTEGER) AS side FROM p)
+        SELECT side AS quadrant, count(*) AS n, round(avg(p_v), 6) AS mean_v, round(avg(p_e), 6) AS mean_e FROM n GROUP BY 1""",
+)
 def fit_and_score(spark, sf):
-    """Fit on everything, store, load and score: no SQL twin."""
+    """Fit on everything, store, load and score."""
     rows = profile.attach_class_weights(_items(spark, sf), "quadrant", classes=4)
     path = work_path(spark, "model")
     modeling.save_model(spark, modeling.fit_final(rows, FEATURES, ("v", "e"), "weight"), path, config={"features": FEATURES})
     models, _ = modeling.load_model(spark, path)
-    scored = modeling.score(rows, models)
-    return scored.groupBy(scored["quadrant"], "quadrant_name").agg(
-        F.count("*").alias("n"), F.avg("p_v").alias("mean_v"), F.avg("p_e").alias("mean_e")
+    scored = modeling.score(rows.drop("quadrant"), models)
+    return scored.groupBy("quadrant").agg(
+        F.count("*").alias("n"), F.round(F.avg("p_v"), 6).alias("mean_v"), F.round(F.avg("p_e"), 6).alias("mean_e")
     )

@@ -64,15 +64,6 @@ def build_vocab(spark, sf):
     return vocab.build_vocab(documents(spark, sf), "doc_id", "text")
 
 
-@query(
-    "build_vocab_encoded_width",
-    f"WITH {vocab_sql(f'({TOKENS})[1:200]')} SELECT * FROM vocab",
-)
-def build_vocab_encoded_width(spark, sf):
-    """Counts what a fixed-width encoding of 200 tokens sees."""
-    return vocab.build_vocab(documents(spark, sf), "doc_id", "text", max_tokens=K.ENCODED_LENGTH)
-
-
 ENCODED = f"""en AS (SELECT p.doc_id, p.pos, coalesce(v.token_id, 1) AS id, {tone_sql("p.token")} + 1 AS tone
                      FROM px p LEFT JOIN vocab v ON v.token = p.token WHERE p.pos < 200),
         ag AS (SELECT doc_id, string_agg(id, ',' ORDER BY pos) AS ids, string_agg(tone, ',' ORDER BY pos) AS tones,
@@ -105,7 +96,8 @@ def language_sql(source: str, key: str) -> str:
                GROUP BY 1, 2),
         sc AS (SELECT k, sz.lang, sum(m * CAST(round(ln((coalesce(n, 0) + 1) / CAST(size AS DOUBLE)) * 1000000) AS BIGINT)) AS s
                FROM sg CROSS JOIN sz LEFT JOIN ct ON ct.lang = sz.lang AND ct.gram = sg.gram GROUP BY 1, 2),
-        best AS (SELECT k, lang AS language FROM sc QUALIFY row_number() OVER (PARTITION BY k ORDER BY s DESC, lang) = 1)"""
+        kn AS (SELECT k, 2 * coalesce(sum(m) FILTER (gram IN (SELECT gram FROM ct)), 0) < sum(m) AS strange FROM sg GROUP BY 1),
+        best AS (SELECT k, CASE WHEN strange THEN 'unknown' ELSE lang END AS language FROM sc JOIN kn USING (k) QUALIFY row_number() OVER (PARTITION BY k ORDER BY s DESC, lang) = 1)"""
 
 
 @query(

@@ -88,10 +88,6 @@ def chunk(
     return indexed.withColumn(name, F.floor(F.col("pos") / F.lit(size)).cast("long") + F.lit(1))
 
 
-def batch_count(rows: int, size: int) -> int:
-    return -(-rows // size)
-
-
 def running_progress(
     log: DataFrame,
     run: str,

@@ -104,15 +104,36 @@ def encode(
 ) -> DataFrame:
     """(key, ids, tones): two arrays of exactly ``length`` integers per row.
 
-    ``key`` has to be unique. Pass a stored vocabulary, as it is measured
-    first. The arrays collected per row are bounded by ``length``.
+    The first window of a text, which is the shape of a fixed-width model;
+    ``encode_windows`` has all of them. ``key`` has to be unique. Pass a stored
+    vocabulary, as it is measured first.
     """
-    tokens = df.select(
-        F.col(key), F.posexplode_outer(tokenize(text, length)).alias("_pos", "token")
-    )
+    tokens = df.select(F.col(key), F.posexplode_outer(tokenize(text, length)).alias("_pos", "token"))
+    return _padded(tokens, [key], vocab, length, legacy_tone_table)
+
+
+def encode_windows(
+    df: DataFrame,
+    key: str,
+    text: str,
+    vocab: DataFrame,
+    length: int = K.ENCODED_LENGTH,
+    legacy_tone_table: bool = False,
+) -> DataFrame:
+    """(key, part, ids, tones): the whole text in windows of ``length`` tokens, one after the other.
+
+    Part 0 is the row of ``encode``; the last window is padded; a text without
+    tokens is one window of padding. A window, not a text, is what a task collects.
+    """
+    tokens = df.select(F.col(key), F.posexplode_outer(tokenize(text)).alias("_pos", "token"))
+    part = F.coalesce(F.floor(F.col("_pos") / F.lit(length)), F.lit(0)).cast("long")
+    return _padded(tokens.withColumn("part", part), [key, "part"], vocab, length, legacy_tone_table)
+
+
+def _padded(tokens: DataFrame, keys: list[str], vocab: DataFrame, length: int, legacy_tone_table: bool) -> DataFrame:
     token_id = F.coalesce("token_id", F.lit(K.UNKNOWN_ID))
     marked = _with_ids(tokens, vocab).select(
-        key,
+        *keys,
         F.when(
             F.col("_pos").isNotNull(),
             F.struct(
@@ -122,10 +143,10 @@ def encode(
             ),
         ).alias("_item"),
     )
-    rows = marked.groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
+    rows = marked.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
     pad = F.lit(K.PAD_ID)
     return rows.select(
-        key,
+        *keys,
         pad_or_truncate(F.col("_items.id"), length, pad).alias("ids"),
         pad_or_truncate(F.col("_items.tone"), length, pad).alias("tones"),
     )

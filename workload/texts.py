@@ -84,6 +84,28 @@ def encode(spark, sf):
     )
 
 
+@query(
+    "encode_windows",
+    f"""WITH {vocab_sql()},
+        en AS (SELECT p.doc_id, p.pos // 200 AS part, p.pos, coalesce(v.token_id, 1) AS id, {tone_sql("p.token")} + 1 AS tone
+               FROM px p LEFT JOIN vocab v ON v.token = p.token),
+        ag AS (SELECT doc_id, part, string_agg(id, ',' ORDER BY pos) AS ids, string_agg(tone, ',' ORDER BY pos) AS tones,
+                      count(*) AS n FROM en GROUP BY 1, 2),
+        full_ag AS (SELECT doc_id, coalesce(part, 0) AS part, coalesce(ids, '') AS ids, coalesce(tones, '') AS tones,
+                           coalesce(n, 0) AS n FROM tk LEFT JOIN ag USING (doc_id))
+        SELECT doc_id, part, trim(ids || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS ids,
+               trim(tones || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS tones FROM full_ag""",
+)
+def encode_windows(spark, sf):
+    """Whole texts, window by window."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    out = vocab.encode_windows(docs, "doc_id", "text", vocab.stored_vocab(docs, "doc_id", "text"))
+    return out.select(
+        "doc_id", "part",
+        *[F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("ids", "tones")],
+    )
+
+
 def language_sql(source: str, key: str) -> str:
     """Add-one trigram model of documents.lang, applied to the texts of ``source``."""
     chars = r"string_split(' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ', '')"

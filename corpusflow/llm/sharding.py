@@ -87,9 +87,10 @@ def kd_shards(df: DataFrame, weight: Column, dims: list[Column], tie: list[Colum
     rows = stage(plain, "shard-rows")
     ends = rows.agg(F.count(F.lit(1)).alias("n"), *[f(F.col("_raw")[i]).alias(f"{f.__name__}{i}") for i in range(len(dims)) for f in (F.min, F.max)]).first()
     total = ends["n"]
-    scaled = []
+    scaled, room = [], []
     for i in range(len(dims)):
         least, most = ends[f"min{i}"] or 0.0, ends[f"max{i}"] or 0.0
+        room.append(1.0 / (most - least + 1.0))
         # Whole values keep their distance; the hash spreads equal ones over the room to the next.
         inside = F.pmod(F.xxhash64("_tie", F.lit(i)), F.lit(1 << 32)) / F.lit(float(1 << 32))
         scaled.append((F.coalesce(F.col("_raw")[i], F.lit(least)) - F.lit(least) + inside) / F.lit(most - least + 1.0))
@@ -103,7 +104,8 @@ def kd_shards(df: DataFrame, weight: Column, dims: list[Column], tie: list[Colum
         for row in stats:
             cell, (weight_all, *edges) = cells[row[0]], row[1:]
             widths = [edges[i] - edges[len(dims) + i] for i in range(len(dims))]
-            cell.dim = max(range(len(dims)), key=lambda i: (widths[i], -i))
+            # The room of one value is not width: a cell of one source is not cut by source.
+            cell.dim = max(range(len(dims)), key=lambda i: (max(widths[i] - room[i], 0.0), widths[i], -i))
             cell.low = edges[len(dims) + cell.dim]
             cell.high = edges[cell.dim] + max(widths[cell.dim], 1e-12) * 1e-9
             cell.goal = weight_all * (cell.shards // 2) / cell.shards

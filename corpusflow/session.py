@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Generous size of one row of a class table (label and a few numbers).
 CLASS_ROW_BYTES = 256
+# What this process stages lies in one folder of its own.
+_RUN = uuid.uuid4().hex
 
 
 def build_session(app: str = "corpusflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,7 +54,17 @@ def work_root(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{work_root(spark).rstrip('/')}/corpusflow/{label}-{uuid.uuid4().hex}"
+    return f"{work_root(spark).rstrip('/')}/corpusflow/{_RUN}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete all that this process has staged so far.
+
+    For the end of a flow: results that are still to be read from staged tables
+    have to be written elsewhere first.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_root(spark).rstrip('/')}/corpusflow/{_RUN}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fix_rows(df: DataFrame) -> DataFrame:

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusflow.operators.dedup import admit_new
+from corpusflow.operators.dedup import admit_new, cap
 from corpusflow.sources.tables import read_if_present
 
+# Parts of the stored keys; a micro-batch reads those that its own keys fall into.
+KEY_BUCKETS = 64
+
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermark on ``ts``; zone-less timestamps are cast, as watermarks need an instant."""
@@ -33,15 +36,21 @@ def admit_to_table(
     """Exact first-wins admission against the keys stored so far.
 
     Keeps no state in the stream. Every micro-batch owns one folder that a
-    replay after a failure overwrites, so no key is stored twice.
+    replay after a failure overwrites, so no key is stored twice. Keys lie in
+    ``KEY_BUCKETS`` parts by hash: a batch meets only the parts that its keys
+    fall into; how many keys there are is read from the files' row counts.
     """
 
     def admit(batch: DataFrame, batch_id: int) -> None:
-        columns = f"{key} {batch.schema[key].dataType.simpleString()}, batch_id long"
+        batch = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int"))
+        columns = f"{key} {batch.schema[key].dataType.simpleString()}, batch_id long, bucket int"
         stored = read_if_present(batch.sparkSession, path, columns)
         seen = batch.limit(0) if stored is None else stored.filter(F.col("batch_id") < batch_id)
-        fresh = admit_new(batch, seen, key, order_by, target)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        met = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
+        fresh = admit_new(batch, seen.filter(F.col("bucket").isin(met)), key, order_by)
+        if target is not None:
+            fresh = cap(fresh, target - seen.count(), order_by)
+        fresh.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(admit)

@@ -372,3 +372,16 @@ def test_fit_save_load_score(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m" / "vocab")).count() == 3
     out = {r["x"]: (r["quadrant"], r["quadrant_name"]) for r in modeling.score(df, loaded).collect()}
     assert out[9.0] == (2, K.QUADRANT_NAMES[2]) and out[0.0] == (1, K.QUADRANT_NAMES[1])
+
+
+def test_staged_tables_are_deleted_together(spark):
+    import os
+
+    from corpusflow import session
+
+    path = session.work_path(spark, "one").removeprefix("file:")
+    session.stage(spark.range(3), "two")
+    folder = os.path.dirname(path)
+    assert any(name.startswith("two-") for name in os.listdir(folder))
+    session.clear_work(spark)
+    assert not os.path.exists(folder)

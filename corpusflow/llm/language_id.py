@@ -219,7 +219,9 @@ def fit_model(df: DataFrame, text: str, label: str, rows: int = FIT_ROWS) -> Lan
     if not languages:
         return LanguageModel([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
     share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, rows / sizes[lang]))]), F.col("lang"))
-    drawn = stage(named.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)), "language-sample")
+    chosen = named.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    # Copies fall together under the hash: one of each keeps the sample within its bound.
+    drawn = stage(chosen.dropDuplicates(), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}

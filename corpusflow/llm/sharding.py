@@ -121,7 +121,8 @@ def kd_shards(df: DataFrame, weight: Column, dims: list[Column], tie: list[Colum
             cell.left, cell.right = len(cells), len(cells) + 1
             cells += [Cell(cell.first, half), Cell(cell.first + half, cell.shards - half)]
             parts += [i for i in (cell.left, cell.right) if cells[i].shards > 1]
-        placed = _step(placed, cells)
+        # A table for each level: plans stay as small as the first one, however deep the tree.
+        placed = stage(_step(placed, cells), "shard-cells")
         for cell in cells:
             cell.cut = None
         live = parts

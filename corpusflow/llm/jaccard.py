@@ -268,6 +268,8 @@ def _blocked(members: DataFrame, known: DataFrame, df: DataFrame, classes: DataF
         of = dict(zip(group["cls"].to_pylist(), zip(group["block"].to_pylist(), group["tokens"].to_pylist(), group["root"].to_pylist())))
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         left, right = ([c for c in of if of[c][0] == k] for k in (i, j))
+        if not left or not right:  # a block into which no class of the cluster fell
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         arrays = {c: np.frombuffer(x[1], dtype=np.uint64) for c, x in of.items()}
         size = np.array([len(arrays[c]) for c in right])
         tokens = np.concatenate([arrays[c] for c in right])

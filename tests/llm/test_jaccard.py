@@ -2,9 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm.components import components
-from corpusflow.llm.jaccard import jaccard_components, prefix_entries
+from corpusflow.llm.jaccard import _blocked, _profile, jaccard_components, prefix_entries
 from tests.llm.helpers import invented, shingle_set
 
 
@@ -77,6 +78,25 @@ def test_similar_sets_share_an_entry_whatever_is_frequent(num, den):
             assert len(np.intersect1d(one[0], two[0])) or len(np.intersect1d(one[1], two[1]))
 
 
+@pytest.mark.parametrize("seed, block", [(1, 256)])
+def test_few_large_sets_leave_blocks_empty(spark, monkeypatch, seed, block):
+    monkeypatch.setattr("corpusflow.llm.jaccard.BLOCK_BYTES", block)
+    base = invented(random.Random(seed), 60).split()
+    texts = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (5, 5, 20, 59)] + [" ".join(base[:40])]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    profile = _profile(df.selectExpr("doc_id AS doc", "text"), 3)
+    classes = profile.groupBy("cls").agg(F.min("doc").alias("rep"))
+    members = profile.select(F.lit(1).cast("long").alias("entry"), "cls").distinct()
+    known = spark.createDataFrame([], "node long, root long")
+    links = _blocked(members, known, df.selectExpr("doc_id AS doc", "text"), classes, 3, 80, 100)
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    got = {r["doc"]: roots.get(r["cls"], r["cls"]) for r in profile.collect()}
+    want = {i: root for i, (_, root) in brute(rows, 3, 80, 100).items()}
+    assert all((got[i] == got[j]) == (want[i] == want[j]) for i in got for j in got)
+    assert len(set(want.values())) == 2
+
+
 def test_prefixes_grow_with_the_text_not_its_square():
     tokens = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64) * np.uint64(2))
     entries = lambda kind: [len(x) for x in prefix_entries(tokens, np.full(len(tokens), kind), 90, 100)[:2]]

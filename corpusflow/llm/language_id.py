@@ -208,11 +208,12 @@ def best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
 def fit_model(df: DataFrame, text: str, label: str, rows: int = FIT_ROWS) -> LanguageModel:
     """A model from labelled texts; NULL labels and texts are left out.
 
-    Labels are counted over all rows, then each language gives ``rows`` of its texts on average, chosen
-    by a hash of the text. More than ``MAX_LANGUAGES`` labels are an error, not cut off.
+    The different texts of each label are counted over all rows, then each language gives ``rows`` of them
+    on average, chosen by a hash of the text, and all if it has no more. Copies count once. More than ``MAX_LANGUAGES`` labels are an error, not cut off.
     """
     named = df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("string").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    distinct = named.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
     languages = sorted(sizes)

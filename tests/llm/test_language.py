@@ -65,6 +65,18 @@ def test_script_narrows_the_candidates(spark):
     assert cyrillic == [False, False, True] and latin == [True, True, False]
 
 
+def test_a_language_of_few_texts_and_many_copies_is_taken_whole(spark):
+    few = [("c", t, "ru") for _, t, lang in _labelled(3, seed=4) if lang == "ru"]
+    rows = [r for r in _labelled() if r[2] != "ru"] + few * 2000
+    model = lid.fit_model(spark.createDataFrame(rows, "id string, text string, lang string"), "text", "lang", rows=10)
+    alone = lid.fit_model(spark.createDataFrame(few, "id string, text string, lang string"), "text", "lang", rows=10)
+    assert model.languages == sorted(PARTS)
+    assert np.array_equal(model.table[:, 2], alone.table[:, 0])
+    df = spark.createDataFrame([("1", invented(random.Random(7), 30, PARTS["ru"]))], "id string, text string")
+    found = lid.identify_languages(df, model).first()["language"]
+    assert found["lang"] == "ru" and found["score"] == 1.0
+
+
 def test_no_labels_no_rows_and_the_fold(spark):
     schema = "id string, text string, lang string"
     none = lid.fit_model(spark.createDataFrame([("1", "words", None), ("2", None, "aa")], schema), "text", "lang")

@@ -39,9 +39,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the lines that stand earlier, exactly or but for one character; ``n_chars`` follows.
 
+    Exact repeats go at every length if they have a letter or digit; one edit is allowed from 20 characters.
     A text that loses lines and has no word left goes. NULL and empty texts stay as they are.
     """
-    cut = line_dedup.dedup_lines(docs, dropped="_pipeline.dropped")
+    cut = line_dedup.dedup_lines(docs, dropped="_pipeline.dropped", short_repeats=True)
     left = cut.where((F.col("`_pipeline.dropped`") == 0) | (F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")) != ""))
     n_chars = F.when(F.col("`_pipeline.dropped`") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return left.withColumn("n_chars", n_chars).select(*[f"`{c}`" for c in docs.columns])

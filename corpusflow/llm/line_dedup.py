@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import stage
 
-# Shorter lines (headings, list marks, greetings) are left alone.
+# Shorter lines (headings, list marks, greetings) are left alone, unless exact repeats are asked for at every length.
 MIN_CHARS = 20
+# A line with a word in it.
+WORDED = r"[\p{L}\p{N}]"
 # Rows of a table of hashes up to which it is broadcast (24 bytes a row); a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -27,11 +29,11 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _lines(df: DataFrame, doc: str, text: str, min_chars: int) -> DataFrame:
+def _lines(df: DataFrame, doc: str, text: str, takes_part: Column) -> DataFrame:
     """A row for each line that takes part: its document, place, and two hashes of it."""
     rows = df.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text")).where("text is not null")
     split = rows.select("doc", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    kept = split.where(F.length(F.trim("line")) >= min_chars)
+    kept = split.where(takes_part)
     return kept.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(1), "line")})
 
 
@@ -95,20 +97,22 @@ def near_lines(lines: DataFrame) -> DataFrame:
     return stage(verified.select("h", "g").distinct(), "lines-near")
 
 
-def dedup_lines(df: DataFrame, doc: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, dropped: str = "dropped_lines") -> DataFrame:
+def dedup_lines(df: DataFrame, doc: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, dropped: str = "dropped_lines", short_repeats: bool = False) -> DataFrame:
     """``df`` with each text less the lines that repeat an earlier one; ``dropped`` counts them.
 
     Lines are cut at \\n. One is dropped if an equal line stands earlier, or an earlier line lies one
     edit (a character put in, left out or changed) away; earlier is by ``doc`` (NULL first), then by
     place in the text. Lines of fewer than ``min_chars`` characters, blanks at the ends not counted,
-    stay. No row is dropped: a text that loses all its lines becomes empty, a NULL text stays NULL.
+    stay; with ``short_repeats`` those that have a letter or digit take part in the exact match, and the
+    bound is one of the one-edit match alone. No row is dropped: a text that loses all its lines becomes empty, a NULL text stays NULL.
     Rows that agree in ``doc`` and text count as one; all other columns pass, whatever their names,
     except that a column named ``dropped`` is replaced. An empty table stays empty.
     """
-    lines = _lines(df, doc, text, min_chars)
+    long = F.length(F.trim("line")) >= min_chars
+    lines = _lines(df, doc, text, long | F.col("line").rlike(WORDED) if short_repeats else long)
     equal = lines.groupBy("h", "g").agg(F.min(F.struct("doc", "pos")).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1")
     equal = stage(equal.select("h", "g", "at"), "lines-equal")
-    near = near_lines(lines).withColumn("near", F.lit(True))
+    near = near_lines(lines.where(long)).withColumn("near", F.lit(True))
     judged = lines.join(_small(equal), ["h", "g"], "left").join(_small(near), ["h", "g"], "left")
     repeated = F.col("at").isNotNull() & ~F.struct("doc", "pos").eqNullSafe(F.col("at"))
     out = judged.where(repeated | F.col("near")).groupBy("doc", "body").agg(F.array_sort(F.collect_set("pos")).alias("gone"))

@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 from corpusflow.llm.line_dedup import dedup_lines
 from tests.llm.helpers import invented, levenshtein
 
@@ -59,6 +60,17 @@ def test_columns_with_clashing_names_repeated_rows_and_null_ids(spark):
     assert found == [(0, line + "?\nown", 0, "n"), (1, "", 1, "d"), (1, "", 1, "d"), (2, "", 1, None)]
 
 
+def test_short_repeats_with_a_word_go_at_every_length(spark):
+    rows = [(1, "Read more\n---\n今日は雨です。\n7"), (2, "Read more\n---\n今日は雨です。\nRead morr"), (3, "7\n\n\nRead more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in dedup_lines(df, short_repeats=True).collect()}
+    # Lines without a word stay, and one edit is not enough for short ones.
+    assert got == {1: (rows[0][1], 0), 2: ("---\nRead morr", 2), 3: ("\n", 2)}
+    docs = df.selectExpr("doc_id", "text", "'aa' AS lang", "'s' AS source", "length(text) AS n_chars")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert left == {1: rows[0][1], 2: "---\nRead morr"}
+
+
 def test_empty_table_and_long_lines(spark):
     schema = "doc_id long, text string"
     assert dedup_lines(spark.createDataFrame([], schema)).count() == 0

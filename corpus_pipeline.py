@@ -64,8 +64,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that hold no item of ``benchmark``, word for word or within a fifth of its words in edits."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), out="_pipeline.leaks")
+    """Texts that hold no item of ``benchmark``, word for word or within a fifth of its words in edits.
+
+    Items of fewer than 8 words count word for word: one of a single common word takes every text that has it.
+    """
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), out="_pipeline.leaks", short_items=True)
     return found.where(F.size("`_pipeline.leaks`") == 0).select(*[f"`{c}`" for c in docs.columns])
 
 

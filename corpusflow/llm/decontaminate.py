@@ -7,12 +7,14 @@ sampled from the embedding are a bucket key; many independent keys from several
 certain that a window within the bound shares one with its item. What meets in a bucket is verified by
 exact edit distance. A window within the bound has a run of some words unchanged (the pigeonhole on its
 edits), so only windows around a run of words that an item also has are embedded; that loses none.
+Items too short for that can be looked for word for word, by the hashes of all runs of their length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.bpe import spans
-from corpusflow.llm.language_id import letter_words
-from corpusflow.llm.pretokens import mix
+from corpusflow.llm.language_id import LetterWords, _tables
+from corpusflow.llm.pretokens import mix, powers
 from corpusflow.llm.slices import bound_batches, slices
 
-# Edits allowed, as a share of an item's words; items of fewer words are too common to look for.
+# Edits allowed, as a share of an item's words; items of fewer words are looked for word for word or not at all.
 MAX_EDITS, MIN_WORDS = 0.2, 8
 # Embeddings, keys from each, and places that make one key.
 WALKS, KEYS, PLACES = 8, 6, 3
@@ -33,6 +35,39 @@ BLOCK_BYTES = 16 << 20
 # Windows embedded at once.
 WINDOWS = 4096
 _PAD = np.uint64(0x2545F4914F6CDD1D)
+_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+# First and last code point of scripts without spaces (Thai, Lao, Myanmar, Khmer, Tai, kana, bopomofo, Han).
+UNSPACED = [
+    (0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3040, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 no part of a word, 1 letter or mark, 2 digit, 3 a word of its own."""
+    inside, _ = _tables()
+    kinds = inside.astype(np.int8)
+    kinds[np.fromiter((chr(c).isnumeric() for c in range(0x110000)), dtype=bool, count=0x110000) & ~inside] = 2
+    for low, high in UNSPACED:
+        kinds[low : high + 1][kinds[low : high + 1] > 0] = 3
+    return kinds
+
+
+def item_words(texts: list[str]) -> LetterWords:
+    """Words of texts in lower case: runs of letters, runs of digits, single code points in scripts without spaces."""
+    _, lower = _tables()
+    raw = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
+    points, kind = lower[raw], _kinds()[raw]
+    change = np.ones(len(kind) + 1, dtype=bool)
+    change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 3)
+    start, end = np.flatnonzero(change[:-1] & (kind > 0)), np.flatnonzero(change[1:] & (kind > 0)) + 1
+    sums = np.zeros(len(points) + 1, dtype=np.uint64)
+    np.cumsum(mix(points + np.uint64(1)) * powers(len(points), _BASE)[:-1], out=sums[1:])
+    key = mix((sums[end] - sums[start]) * powers(len(points), _INVERSE)[start] + (end - start).astype(np.uint64))
+    return LetterWords(points, start, end, key, np.searchsorted(start, edges), edges)
 
 
 def walk(keys: np.ndarray, start: np.ndarray, size: np.ndarray, walks: int) -> np.ndarray:
@@ -101,7 +136,7 @@ class Items:
 
     @classmethod
     def build(cls, rows: list[tuple[int | None, str]], max_edits: float, min_words: int) -> Items | None:
-        found = letter_words([text for _, text in rows])
+        found = item_words([text for _, text in rows])
         every = [found.key[a:b] for a, b in zip(found.first[:-1], found.first[1:])]
         kept = [i for i, w in enumerate(every) if len(w) >= min_words]
         if not kept:
@@ -120,7 +155,7 @@ class Items:
 
     def find(self, texts: list[str]) -> list[list[tuple[int | None, int]]]:
         """For each text the (item, edits) that it holds within the bound, by item."""
-        words = letter_words(texts)
+        words = item_words(texts)
         out: list[list[tuple[int | None, int]]] = [[] for _ in texts]
         if len(words.key) < self.run:
             return out
@@ -192,7 +227,42 @@ def _runs(words: np.ndarray, length: int) -> np.ndarray:
     return mix(out)
 
 
-def leak_column(df: DataFrame, text: Column, items: Items) -> Column:
+@dataclass
+class ShortItems:
+    """Items of few words, to be found word for word: by number of words the sorted hashes and whose they are."""
+
+    ids: list[int | None]
+    runs: dict[int, tuple[np.ndarray, np.ndarray]]
+
+    @classmethod
+    def build(cls, rows: list[tuple[int | None, str]], min_words: int) -> ShortItems | None:
+        found = item_words([text for _, text in rows])
+        size = np.diff(found.first)
+        runs = {}
+        for n in np.unique(size[(size > 0) & (size < min_words)]).tolist():
+            own = np.flatnonzero(size == n)
+            keys = _runs(found.key, n)[found.first[own]]
+            order = np.argsort(keys, kind="stable")
+            runs[n] = keys[order], own[order]
+        return cls([i for i, _ in rows], runs) if runs else None
+
+    def find(self, texts: list[str]) -> list[list[tuple[int | None, int]]]:
+        """For each text the (item, 0) that it holds word for word."""
+        words = item_words(texts)
+        owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
+        out: list[list[tuple[int | None, int]]] = [[] for _ in texts]
+        for n, (keys, item) in self.runs.items():
+            runs = _runs(words.key, n)
+            runs, of = runs[owner[: len(runs)] == owner[n - 1 :]], owner[: len(runs)][owner[: len(runs)] == owner[n - 1 :]]
+            hit = np.isin(runs, keys)
+            met = np.unique(np.stack([of[hit].astype(np.uint64), runs[hit]]), axis=1)
+            low, high = np.searchsorted(keys, met[1]), np.searchsorted(keys, met[1], side="right")
+            for text, k in zip(np.repeat(met[0], high - low).tolist(), item[spans(low, high - low)].tolist()):
+                out[text].append((self.ids[k], 0))
+        return out
+
+
+def leak_column(df: DataFrame, text: Column, items: Items | ShortItems) -> Column:
     """Array of (item, edits) that a text holds."""
     shared = df.sparkSession.sparkContext.broadcast(items)
 
@@ -215,12 +285,14 @@ def find_leaks(
     out: str = "leaks",
     max_edits: float = MAX_EDITS,
     min_words: int = MIN_WORDS,
+    short_items: bool = False,
 ) -> DataFrame:
     """``df`` with the benchmark items that each whole text holds: an array of (item, edits), by item.
 
-    Words are runs of letters in lower case. An item is found where a run of the text's words lies within
-    ``floor(max_edits * words)`` edits of it; items of fewer than ``min_words`` words are not looked for,
-    NULL items neither. Recall is that of the bucket keys: 1 for exact copies, and measured in the tests
+    Words are runs of letters in lower case, runs of digits, and single code points in scripts without
+    spaces. An item is found where a run of the text's words lies within ``floor(max_edits * words)`` edits
+    of it. Items of fewer than ``min_words`` words are found word for word with ``short_items``, else not;
+    those without a word and NULL ones never. Recall is that of the bucket keys: 1 for exact copies, and measured in the tests
     for changed ones. NULL and empty texts, and an empty benchmark, give empty arrays. One row in, one row
     out; a column already named ``out`` is replaced. Items are broadcast in blocks of ``BLOCK_BYTES``.
     """
@@ -231,8 +303,9 @@ def find_leaks(
     found = []
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        items = Items.build([(r["item"], r["text"]) for r in part.collect()], max_edits, min_words)
-        if items is not None:
-            found.append(leak_column(df, F.col(f"`{text}`"), items))
+        held = [(r["item"], r["text"]) for r in part.collect()]
+        for items in (Items.build(held, max_edits, min_words), ShortItems.build(held, min_words) if short_items else None):
+            if items is not None:
+                found.append(leak_column(df, F.col(f"`{text}`"), items))
     none = F.array().cast("array<struct<item:bigint,edits:int>>")
     return df.withColumn(out, F.array_sort(F.concat(*found)) if len(found) > 1 else found[0] if found else none)

@@ -75,7 +75,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_decontamination")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), short_items=True)
     return found.select(
         "doc_id",
         (F.size("leaks") > 0).alias("contaminated"),

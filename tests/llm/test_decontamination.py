@@ -74,3 +74,18 @@ def test_odd_rows_and_blocks(spark, monkeypatch):
         assert got == want
     assert all(r["leaks"] == [] for r in find_leaks(df, bench.limit(0)).collect())
     assert find_leaks(df.limit(0), bench).count() == 0
+
+
+def test_short_items_digits_and_scripts_without_spaces(spark):
+    items = [(1, "What is 12 + 7?"), (2, "日本の首都はどこですか。東京です。"), (3, "Too short"), (4, "東京は?"), (5, "..."), (6, "too, SHORT"), (7, "12 7 5 31 44 9 10 2")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [
+        (1, "so: what is 12 + 7 then"), (2, "what is 13 + 7"), (3, "今日は日本の首都はどこですか東京ですと言う"), (4, "much too short, too short"), (5, "too"),
+        (6, "short"), (7, "東京は広い"), (8, None), (9, ""), (10, "x12 7 5 31 44 9 10 2"), (11, "12 7 6 30 43 9 10 2"), (12, "what is"), (13, "12 7"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    want = {1: [(1, 0)], 3: [(2, 0)], 4: [(3, 0), (6, 0)], 7: [(4, 0)], 10: [(7, 0)]}
+    got = {r["doc_id"]: [tuple(x) for x in r["leaks"]] for r in find_leaks(df, bench, short_items=True).collect()}
+    assert got == {i: want.get(i, []) for i, _ in docs}
+    only = find_leaks(df, bench.where("item_id = 4"), short_items=True)
+    assert [r["doc_id"] for r in only.where("size(leaks) > 0").collect()] == [7]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, decontaminate, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc
+from corpusflow.llm import (
+    bpe, decontaminate, hard_negatives, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc,
+)
 from corpusflow.llm import quality_cascade as quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +205,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > 512).alias("over_limit"),
     )
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM (SELECT * FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+    c AS (SELECT vec_id, label, unnest(v) AS x, unnest(range(len(v))) AS k FROM e),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, sum(a.x * b.x)::BIGINT AS score
+          FROM c a JOIN c b USING (k) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL),
+    p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INT AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+    QUALIFY rank <= 5
+    """,
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(
+        vectors, F.col("vec_id"), F.col("embedding"), moved, F.col("id") % 100 == 0
+    )

@@ -2,7 +2,7 @@
 
 The rule is that of byte-level BPE files: contractions, then runs of letters, numbers or other
 signs with at most one leading blank, then white space. Which of the four kinds a code point is of
-is asked of the tokenizer library itself, once for each code point that occurs.
+is asked of the tokenizer's own library, once for each code point that occurs.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ SPACE, LETTER, NUMBER, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 BLANK, QUOTE = 0x20, 0x27
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+# Powers that a worker keeps; a longer slice works out its own.
+KEPT_POWERS = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -54,35 +56,24 @@ class Pretokens:
         return sums[self.first[1:]] - sums[self.first[:-1]]
 
 
-class ByteLevel:
-    """The pre-tokenizer of a byte-level tokenizer file."""
+class Splitter:
+    """Cuts texts at special strings and by the kinds of their code points."""
 
-    def __init__(self, path: str):
-        from tokenizers import pre_tokenizers
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        if not plain or spec.get("normalizer"):
-            raise ValueError(f"{path}: only byte-level tokenizers without a prefix space or normalizer")
-        self.special = {}
-        for token in spec.get("added_tokens", []):
-            if token["lstrip"] or token["rstrip"] or token["single_word"]:
-                raise ValueError(f"{path}: added token {token['content']!r} takes more than its own text")
-            self.special[token["content"]] = token["id"]
-        self._library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    def __init__(self, special: dict[str, int]):
+        self.special = special
         self._kind = np.full(0x110000, UNKNOWN, dtype=np.uint8)
         self._point = mix(np.arange(1, 0x110001, dtype=np.uint64))
-        self._powers = powers(1 << 16, _BASE)
-        self._inverses = powers(1 << 16, _INVERSE)
+        self._powers = powers(KEPT_POWERS, _BASE)
+        self._inverses = powers(KEPT_POWERS, _INVERSE)
+
+    def _ask(self, points: list[int]) -> None:
+        """Find the kinds of code points that have not occurred before."""
+        raise NotImplementedError
 
     def _kinds(self, points: np.ndarray) -> np.ndarray:
         kinds = self._kind[points]
         if (kinds == UNKNOWN).any():
-            for c in np.unique(points[kinds == UNKNOWN]).tolist():
-                alone = lambda x: len(self._library.pre_tokenize_str(x + chr(c))) == 1
-                self._kind[c] = LETTER if alone("a") else NUMBER if alone("1") else OTHER if alone("!") else SPACE
+            self._ask(np.unique(points[kinds == UNKNOWN]).tolist())
             kinds = self._kind[points]
         return kinds
 
@@ -154,14 +145,41 @@ class ByteLevel:
 
     def _hash(self, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(points)
-        if n + 1 > len(self._powers):
-            self._powers, self._inverses = powers(2 * n, _BASE), powers(2 * n, _INVERSE)
+        known = n + 1 <= len(self._powers)
+        up, down = (self._powers, self._inverses) if known else (powers(n, _BASE), powers(n, _INVERSE))
         sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self._point[points] * self._powers[:n], out=sums[1:])
-        key = (sums[end] - sums[start]) * self._inverses[start]
+        np.multiply(self._point[points], up[:n], out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
+        key = (sums[end] - sums[start]) * down[start]
         return mix(key + (end - start).astype(np.uint64))
 
 
+class ByteLevel(Splitter):
+    """The pre-tokenizer of a byte-level tokenizer file."""
+
+    def __init__(self, path: str):
+        from tokenizers import pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        if not plain or spec.get("normalizer"):
+            raise ValueError(f"{path}: only byte-level tokenizers without a prefix space or normalizer")
+        special = {}
+        for token in spec.get("added_tokens", []):
+            if token["lstrip"] or token["rstrip"] or token["single_word"]:
+                raise ValueError(f"{path}: added token {token['content']!r} takes more than its own text")
+            special[token["content"]] = token["id"]
+        super().__init__(special)
+        self._library = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def _ask(self, points: list[int]) -> None:
+        for c in points:
+            alone = lambda x: len(self._library.pre_tokenize_str(x + chr(c))) == 1
+            self._kind[c] = LETTER if alone("a") else NUMBER if alone("1") else OTHER if alone("!") else SPACE
+
+
 class Known:
     """What is known about pre-tokens, as sorted arrays; emptied when it outgrows its bound."""
 

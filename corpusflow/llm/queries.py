@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    bpe, decontaminate, hard_negatives, jaccard, language_id, line_dedup, sharding, token_counts, toxicity, warc,
+    bpe, decontaminate, hard_negatives, jaccard, language_id, line_dedup, prefix_bpe, sharding, token_counts, toxicity,
+    warc,
 )
 from corpusflow.llm import quality_cascade as quality
 
@@ -207,6 +208,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_prefix_bpe")
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = prefix_bpe.round_trip(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    return coded.select(
+        "doc_id",
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("coded.ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("coded.decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     "op13_hard_negatives",
     """

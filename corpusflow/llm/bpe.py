@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from corpusflow.llm.pretokens import ByteLevel, Known
 from corpusflow.llm.slices import bound_batches, slices
 
-# Distinct words whose encodings a worker keeps before it starts anew (about 40 bytes each).
-CACHE_WORDS = 1 << 20
+# Distinct words whose encodings a worker keeps before it starts anew, and the ids kept with them.
+CACHE_WORDS, CACHE_IDS = 1 << 17, 1 << 20
 # Pairs of tokens whose compatibility a worker remembers before it starts anew.
-CACHE_PAIRS = 1 << 19
+CACHE_PAIRS = 1 << 17
 # Token ids decoded at once.
-SLICE_IDS = 1_000_000
+SLICE_IDS = 1 << 18
 
-_WORKER: dict[str, Codec] = {}
+_WORKER: dict[tuple[type, str], Codec | Decoder] = {}
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -37,10 +37,44 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class Codec:
+class Decoder:
+    """The bytes of every token id of one byte-level BPE file, and nothing else."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letters = byte_alphabet()
+        spelled = {i: bytes(letters[c] for c in word) for word, i in spec["model"]["vocab"].items()}
+        spelled |= {token["id"]: token["content"].encode() for token in spec.get("added_tokens", [])}
+        tokens = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+        self._size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self._begin = np.cumsum(self._size) - self._size
+        self._all = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of token ids, one after the other."""
+        return self._all[spans(self._begin[ids], self._size[ids])]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The text of each list of ids (lists lie one after the other), ``SLICE_IDS`` at a time."""
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        texts: list[str] = []
+        row = 0
+        while row < len(counts):
+            stop = max(row + 1, int(np.searchsorted(edges, edges[row] + SLICE_IDS, side="right")) - 1)
+            part = ids[edges[row] : edges[stop]]
+            data = self.decode_bytes(part).tobytes()
+            ends = np.concatenate([[0], np.cumsum(self._size[part])])[edges[row : stop + 1] - edges[row]].tolist()
+            texts += [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            row = stop
+        return texts
+
+
+class Codec(Decoder):
     """Encoder and decoder of one byte-level BPE file."""
 
     def __init__(self, path: str):
+        super().__init__(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -62,16 +96,13 @@ class Codec:
             self.bytes_of[i] = content.encode()
         self.longest = max(map(len, self.ids))
         self.own = {i for spelling, i in self.ids.items() if self.merged(spelling) == [i]}
-        sizes = np.fromiter(map(len, self.bytes_of), dtype=np.int64, count=top)
-        self._begin, self._size = np.cumsum(sizes) - sizes, sizes
-        self._all = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self._pairs: dict[int, bool] = {}
         self.start_anew()
 
     def start_anew(self) -> None:
         self.words = Known(CACHE_WORDS)
-        self._flat: list[np.ndarray] = [np.zeros(0, np.int32)]
-        self._filled = 0
+        # Word number n of the cache has the ids from _ends[n] to _ends[n + 1].
+        self._flat, self._ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def merged(self, spelling: bytes) -> list[int]:
         """Token ids by merging adjacent tokens, lowest rank first: what defines the encoding."""
@@ -137,7 +168,7 @@ class Codec:
         """(token ids of all the texts, number of ids of each text), as NumPy arrays."""
         pre = self.level.split(texts)
         keys, at, back = np.unique(pre.key, return_index=True, return_inverse=True)
-        if len(self.words.keys) > self.words.bound:
+        if len(self.words.keys) > self.words.bound or len(self._flat) > CACHE_IDS:
             self.start_anew()
         _, known = self.words.find(keys)
         miss = np.flatnonzero(~known)
@@ -149,21 +180,14 @@ class Codec:
             for i, tokens in zip(plain, self.encode_words([spelled[i].encode("utf-8", "surrogatepass") for i in plain])):
                 found[i] = tokens
             sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            begins = self._filled + np.cumsum(sizes) - sizes
-            self._flat.append(np.fromiter((x for f in found for x in f), dtype=np.int32, count=int(sizes.sum())))
-            self._filled += int(sizes.sum())
-            self.words.add(keys[miss], begins << 20 | sizes)
-        if len(self._flat) > 1:
-            self._flat = [np.concatenate(self._flat)]
+            self.words.add(keys[miss], len(self._ends) - 1 + np.arange(len(found)))
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+            self._flat = np.concatenate([self._flat, np.fromiter((x for f in found for x in f), dtype=np.int32, count=int(sizes.sum()))])
         place, _ = self.words.find(keys)
-        sizes = (place & ((1 << 20) - 1))[back]
-        ids = self._flat[0][spans((place >> 20)[back], sizes)]
+        sizes = (self._ends[place + 1] - self._ends[place])[back] if len(place) else np.zeros(0, np.int64)
+        ids = self._flat[spans(self._ends[place][back], sizes)]
         return ids, pre.totals(sizes)
 
-    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
-        """Bytes of token ids, one after the other."""
-        return self._all[spans(self._begin[ids], self._size[ids])]
-
 
 def spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions begin, begin + 1, ... of every span, one span after the other."""
@@ -172,10 +196,20 @@ def spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (ends - sizes), sizes) + np.arange(total)
 
 
-def _codec(path: str) -> Codec:
-    if path not in _WORKER:
-        _WORKER[path] = Codec(path)
-    return _WORKER[path]
+def _worker(kind: type, path: str) -> Codec | Decoder:
+    if (kind, path) not in _WORKER:
+        _WORKER[kind, path] = kind(path)
+    return _WORKER[kind, path]
+
+
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
+
+
+def _encoded(codec: Codec, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    parts = [codec.encode(part) for part in slices(batch.to_pylist())]
+    ids = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
+    return ids, np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
 
 
 def encode_column(text: Column, path: str) -> Column:
@@ -187,12 +221,9 @@ def encode_column(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(path)
+        codec = _worker(Codec, path)
         for batch in batches:
-            parts = [codec.encode(part) for part in slices(batch.to_pylist())]
-            counts = np.concatenate([np.zeros(1, np.int64), *(n for _, n in parts)])
-            flat = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), pa.array(flat))
+            yield _lists(*_encoded(codec, batch))
 
     return encode(text)
 
@@ -200,30 +231,33 @@ def encode_column(text: Column, path: str) -> Column:
 def decode_column(ids: Column, path: str) -> Column:
     """The text of token ids, special tokens included; bytes that are no UTF-8 become U+FFFD.
 
-    NULL gives NULL, an empty list the empty text.
+    NULL gives NULL, an empty list the empty text. The worker holds the bytes of the tokens only.
     """
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(path)
+        decoder = _worker(Decoder, path)
         for batch in batches:
-            edges = np.asarray(batch.offsets, dtype=np.int64)
-            flat = np.asarray(batch.values, dtype=np.int64)
-            null = np.asarray(batch.is_null())
-            texts: list[str | None] = []
-            row = 0
-            while row < len(batch):
-                stop = max(row + 1, int(np.searchsorted(edges, edges[row] + SLICE_IDS, side="right")) - 1)
-                part = flat[edges[row] : edges[stop]]
-                data = codec.decode_bytes(part).tobytes()
-                ends = np.concatenate([[0], np.cumsum(codec._size[part])])[edges[row : stop + 1] - edges[row]].tolist()
-                texts += [None if null[row + i] else data[a:b].decode("utf-8", "replace") for i, (a, b) in enumerate(zip(ends, ends[1:]))]
-                row = stop
-            yield pa.array(texts, pa.string())
+            counts = np.diff(np.asarray(batch.offsets, dtype=np.int64))
+            found = decoder.decode(np.asarray(batch.flatten(), dtype=np.int64), counts)
+            yield pa.array([x if ok else None for x, ok in zip(found, batch.is_valid().to_pylist())], pa.string())
 
     return decode(ids)
 
 
+def round_trip_column(text: Column, path: str) -> Column:
+    """(``ids``, ``decoded``): the ids of a text, and the text that these ids decode to, by one worker."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _worker(Codec, path)
+        for batch in batches:
+            ids, counts = _encoded(codec, batch)
+            yield pa.StructArray.from_arrays([_lists(ids, counts), pa.array(codec.decode(ids, counts), pa.string())], names=["ids", "decoded"])
+
+    return both(text)
+
+
 def encode_texts(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the token ids of each whole text; a column already named ``out`` is replaced.
 
@@ -237,3 +271,9 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     """``df`` with the text of each row's token ids; a column already named ``out`` is replaced."""
     bound_batches(df.sparkSession)
     return df.withColumn(out, decode_column(F.col(f"`{ids}`"), path))
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", out: str = "coded") -> DataFrame:
+    """``df`` with ids and decoded text of each whole text in the struct ``out``; one worker a task does both."""
+    bound_batches(df.sparkSession)
+    return df.withColumn(out, round_trip_column(F.col(f"`{text}`"), path))

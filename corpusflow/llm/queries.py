@@ -66,12 +66,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode_ids(bpe.encode_texts(docs, tokenizer_path()), tokenizer_path())
+    coded = bpe.round_trip(docs, tokenizer_path())
     return coded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("coded.ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("coded.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import SparkSession
 
 # Characters handled at once by the NumPy code; a longer text is a slice of its own.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 1 << 18
 
 # Rows and bytes of an Arrow batch of texts.
 BATCH_ROWS, BATCH_BYTES = 512, 16 << 20

@@ -54,13 +54,27 @@ def test_trie_agrees_with_merging_and_survives_a_full_cache(codec):
     assert codec.encode_words(words) == [codec.merged(w) for w in words]
     small = bpe.Codec.__new__(bpe.Codec)
     small.__dict__.update(codec.__dict__)
-    small.words, small._flat, small._filled = Known(3), [np.zeros(0, np.int32)], 0
+    small.words, small._flat, small._ends = Known(3), np.zeros(0, np.int32), np.zeros(1, np.int64)
     start_anew, small.start_anew = small.start_anew, lambda: (start_anew(), setattr(small.words, "bound", 3))
     for _ in range(3):
         for text in ("one two three four", "five six one"):
             assert small.encode([text])[0].tolist() == codec.encode([text])[0].tolist()
 
 
+def test_a_pretoken_of_more_than_2_to_the_20_ids(codec, library):
+    text = "ab " + "qzxj" * 400_000
+    assert codec.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(library.encode(text, add_special_tokens=False).ids) > 1 << 20
+    assert codec.encode(["ab qz"])[0].tolist() == library.encode("ab qz", add_special_tokens=False).ids
+
+
+def test_decoder_holds_the_bytes_only(codec, library):
+    decoder = bpe.Decoder(PATH)
+    ids = np.arange(library.get_vocab_size())
+    assert decoder.decode(ids, np.ones(len(ids), np.int64)) == codec.decode(ids, np.ones(len(ids), np.int64))
+    assert set(vars(decoder)) == {"_size", "_begin", "_all"}
+
+
 def test_encode_and_decode_columns(spark, library):
     texts = [*_texts()[:300], None, "same", "same"]
     df = spark.createDataFrame([(i, t, "keep") for i, t in enumerate(texts)], "doc_id long, text string, ids string").repartition(3)
@@ -69,6 +83,8 @@ def test_encode_and_decode_columns(spark, library):
     for r in rows:
         text = texts[r["doc_id"]] or ""
         assert r["ids"] == library.encode(text, add_special_tokens=False).ids and r["decoded"] == text
+    both = bpe.round_trip(df, PATH).collect()
+    assert {r["doc_id"]: tuple(r["coded"]) for r in both} == {r["doc_id"]: (r["ids"], r["decoded"]) for r in rows}
     assert bpe.encode_texts(df.limit(0), PATH).count() == 0
     bad = spark.createDataFrame([([255, 188],), (None,), ([],)], "ids array<int>")
     decoded = [r["decoded"] for r in bpe.decode_ids(bad, PATH).collect()]

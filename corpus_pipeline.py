@@ -74,9 +74,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, token ids, their number, and whether they decode to the text again (NULL: as empty)."""
-    coded = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "text"), tokenizer_path()), tokenizer_path())
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.round_trip(docs.select("doc_id", "text"), tokenizer_path())
+    same = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.ids", same.alias("round_trip"))
 
 
 STAGES = [

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    bpe, decontaminate, hard_negatives, jaccard, language_id, line_dedup, prefix_bpe, sharding, token_counts, toxicity,
-    warc,
+    bpe, decontaminate, hard_negatives, jaccard, language_id, lexical, line_dedup, prefix_bpe, sharding, token_counts,
+    toxicity, warc,
 )
 from corpusflow.llm import quality_cascade as quality
 
@@ -208,6 +209,32 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op11_lexical_search",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                      regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{lexical.TERM}') AS ts
+               FROM documents WHERE text IS NOT NULL),
+    sizes AS (SELECT r, doc_id, len(ts) AS n FROM d WHERE len(ts) > 0),
+    total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+    tfs AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+    weights AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, total GROUP BY t, docs),
+    asked AS (SELECT DISTINCT item_id, text,
+                     unnest(regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{lexical.TERM}')) AS t
+              FROM benchmark),
+    scores AS (SELECT item_id, text, r, doc_id,
+                      sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+               FROM asked JOIN tfs USING (t) JOIN weights USING (t) JOIN sizes USING (r), total
+               GROUP BY item_id, text, r, doc_id)
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10
+    """,
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 @query("op12_prefix_bpe")
 def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -46,6 +46,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 _BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BITS = np.array([bin(i).count("1") for i in range(16)], dtype=np.int64)
+# Which of a node's children is its quarter q, by 4 * mask + q; -1: it has no such quarter.
+_CHILD = np.array([_BITS[m & ((1 << q) - 1)] if m >> q & 1 else -1 for m in range(16) for q in range(4)], dtype=np.int64)
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHARD = "ids array<long>, no_id array<boolean>, terms array<long>, dfs array<int>, height int, masks binary, maxima binary, leaf_row binary, leaf_col binary"
@@ -70,12 +72,11 @@ def terms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     key = mix((sums[end] - sums[start]) * powers(n, _INVERSE)[start] + (end - start).astype(np.uint64))
     first = np.searchsorted(start, edges)
     counts = np.diff(first)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    order = np.lexsort((key, owner))
-    owner, key = owner[order], key[order]
-    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])])[: len(key)]
-    at = np.flatnonzero(new)
-    return owner[at], key[at], np.diff(np.append(at, len(key))), counts
+    names, number = np.unique(key, return_inverse=True)
+    pair = np.sort(np.repeat(np.arange(len(texts)), counts) * len(names) + number)
+    at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[: len(pair)])
+    owner, number = np.divmod(pair[at], max(len(names), 1))
+    return owner, names[number], np.diff(np.append(at, len(pair))), counts
 
 
 def _morton(row: np.ndarray, col: np.ndarray, height: int) -> np.ndarray:
@@ -104,9 +105,8 @@ class Treap:
     leaf_col: np.ndarray
 
     @classmethod
-    def build(cls, ids, no_id, doc, term, impact) -> Treap:
-        """From postings (document number, term, impact)."""
-        names, row, dfs = np.unique(term, return_inverse=True, return_counts=True)
+    def build(cls, ids, no_id, doc, names, row, dfs, impact) -> Treap:
+        """From postings (number of the document, number of the term, impact), the terms' names and frequencies."""
         height = max(0, int(len(ids) - 1).bit_length())
         # Terms of like frequency and like documents lie together, so that quarters are full or empty.
         centre = np.bincount(row, weights=doc, minlength=len(names)) / np.maximum(dfs, 1)
@@ -140,7 +140,9 @@ class Treap:
 
     def __post_init__(self) -> None:
         leaf = self.masks == 0
-        self._leaf_at = np.cumsum(leaf) - leaf
+        # Row and column of each leaf; -1 for other nodes.
+        self._row, self._col = (np.full(len(leaf), -1, dtype=np.int32) for _ in range(2))
+        self._row[leaf], self._col[leaf] = self.leaf_row, self.leaf_col
         children = _BITS[self.masks]
         # Nodes of a level stand in order, and so do their children behind all nodes of the level.
         bands = -(-len(self.terms) // (1 << self.height))
@@ -155,56 +157,61 @@ class Treap:
         row = self._by_name[at]
         return np.where(self.terms[row] == keys, row, -1)
 
-    def _own(self, node: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """The nodes, less the leaves of other rows."""
-        known = node >= 0
-        leaf = known & (self.masks[node] == 0)
-        other = leaf & (self.leaf_row[self._leaf_at[node] * leaf] != row)
-        return np.where(other, -1, node)
-
     def search(self, row: np.ndarray, weight: np.ndarray, found: Found) -> None:
-        """Add the shard's best documents for the terms in rows ``row`` with their weights to ``found``."""
-        height, low = self.height, row & ((1 << self.height) - 1)
-        node = self._own(row >> height, low)[None, :]
+        """Add the shard's best documents for the terms in rows ``row`` with their weights to ``found``.
+
+        The frontier has ranges of documents (``level``, ``start``, ``bound``) and, for each range and each term
+        that occurs in it, the quarter on the term's row path.
+        """
+        height, low, node = self.height, row & ((1 << self.height) - 1), row >> self.height
+        own = (self._row[node] < 0) | (self._row[node] == low)
+        node, low, weight, owner = node[own], low[own], weight[own], np.zeros(int(own.sum()), np.int64)
         level, start = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        bound = self._bounds(node, weight)
+        bound = self._bounds(node, weight, owner, 1)
         ranges = FIRST_RANGES
-        while len(bound):
-            live = bound >= max(found.least, 1)
-            node, level, start, bound = node[live], level[live], start[live], bound[live]
-            last = level == height
-            if last.any():
-                found.add(bound[last], self.ids[start[last]], self.no_id[start[last]])
-                node, level, start, bound = node[~last], level[~last], start[~last], bound[~last]
-                continue
-            if not len(bound):
+        while True:
+            live, single = bound >= max(found.least, 1), level == height
+            if (live & single).any():
+                best = np.flatnonzero(live & single)
+                found.add(bound[best], self.ids[start[best]], self.no_id[start[best]])
+                live = bound >= max(found.least, 1)
+            rest = np.flatnonzero(live & ~single)
+            if not len(rest):
                 return
-            take = np.argpartition(-bound, ranges)[:ranges] if len(bound) > ranges else np.arange(len(bound))
-            stay = np.ones(len(bound), dtype=bool)
-            stay[take] = False
+            take = rest[np.argpartition(-bound[rest], ranges)[:ranges]] if len(rest) > ranges else rest
+            taken = np.zeros(len(bound), dtype=bool)
+            taken[take] = True
+            stay = rest[~taken[rest]]
+            number = np.full(len(bound), -1)  # of a range in the next frontier; of its left half if it is taken
+            number[stay], number[take] = np.arange(len(stay)), len(stay) + np.arange(len(take))
+            halved = taken[owner]
+            kept = ~halved & (number[owner] >= 0)
             step = height - 1 - level[take]
-            halves = [self._half(node[take], low, step, c) for c in (0, 1)]
-            node = np.concatenate([node[stay], *halves])
+            halves = self._halves(node[halved], low[halved], weight[halved], number[owner[halved]], step, len(stay))
+            node, low, weight, owner = (
+                np.concatenate([x[kept], *(h[k] for h in halves)]) for k, x in enumerate((node, low, weight, number[owner]))
+            )
             level = np.concatenate([level[stay], level[take] + 1, level[take] + 1])
             start = np.concatenate([start[stay], start[take], start[take] + (1 << step)])
-            bound = np.concatenate([bound[stay], *(self._bounds(h, weight) for h in halves)])
+            bound = self._bounds(node, weight, owner, len(level))
             ranges = min(2 * ranges, MOST_RANGES)
 
-    def _bounds(self, node: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        return np.where(node >= 0, self.maxima[node], 0).astype(np.int64) @ weight
-
-    def _half(self, node: np.ndarray, low: np.ndarray, step: np.ndarray, half: int) -> np.ndarray:
-        """For each range and term the node in the left or right half of the range."""
-        step = step[:, None]
-        known = node >= 0
-        mask = np.where(known, self.masks[node], 0)
-        quarter = 2 * (low[None, :] >> step & 1) + half
-        child = self._first[node] + _BITS[mask & ((1 << quarter) - 1)]
-        child = np.where(mask >> quarter & 1 == 1, child, -1)
-        child = self._own(child, low[None, :])
-        leaf = known & (mask == 0)
-        col = self.leaf_col[self._leaf_at[node] * leaf].astype(np.int64) if len(self.leaf_col) else np.zeros(node.shape, np.int64)
-        return np.where(leaf, np.where(col >> step & 1 == half, node, -1), child)
+    def _bounds(self, node: np.ndarray, weight: np.ndarray, owner: np.ndarray, ranges: int) -> np.ndarray:
+        return np.bincount(owner, weights=self.maxima[node].astype(np.int64) * weight, minlength=ranges).astype(np.int64)
+
+    def _halves(self, node, low, weight, owner, step, first) -> list[tuple[np.ndarray, ...]]:
+        """The quarters in the left and in the right halves of ranges, ``first`` being the number of the first range."""
+        shift = step[owner - first]
+        mask, col, begin = self.masks[node].astype(np.int64), self._col[node], self._first[node]
+        upper, side = low >> shift & 1, col >> shift & 1
+        out = []
+        for half in (0, 1):
+            nth = _CHILD[mask * 4 + 2 * upper + half]
+            child = np.where(mask == 0, np.where(side == half, node, -1), np.where(nth >= 0, begin + nth, -1))
+            row = self._row[child]
+            own = np.flatnonzero((child >= 0) & ((row < 0) | (row == low)))
+            out.append((child[own], low[own], weight[own], owner[own] + half * len(step)))
+        return out
 
     def row(self) -> tuple:
         arrays = (self.masks, self.maxima, self.leaf_row, self.leaf_col)
@@ -251,13 +258,14 @@ def _shards(documents: int, terms: int):
 
         def close() -> pa.RecordBatch:
             ids, no_id, doc, term, tf, size = (np.concatenate(x) for x in zip(*held))
+            names, row, dfs = np.unique(term, return_inverse=True, return_counts=True)
             at = np.flatnonzero(size)  # documents without a term are in no list
-            at = at[np.lexsort((size[at], _leading(doc, term, tf, len(ids))[at]))]
+            at = at[np.lexsort((size[at], _leading(doc, row, dfs, tf)))]
             place = np.full(len(ids), -1)
             place[at] = np.arange(len(at))
             length = 10 + 90 * size * documents // max(terms, 1)
             impact = 1_000_000_000 * tf // (1000 * tf + 8 * length[doc])
-            treap = Treap.build(ids[at], no_id[at], place[doc], term, impact)
+            treap = Treap.build(ids[at], no_id[at], place[doc], names, row, dfs, impact)
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(treap.row(), schema)], schema=schema)
 
         for batch in batches:
@@ -280,16 +288,13 @@ def _shards(documents: int, terms: int):
     return build
 
 
-def _leading(doc: np.ndarray, term: np.ndarray, tf: np.ndarray, docs: int) -> np.ndarray:
-    """The most common term of the shard among each document's most frequent ones: like documents have the same."""
+def _leading(doc: np.ndarray, row: np.ndarray, dfs: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    """For each document with a term, its most frequent one (of like ones the shard's most common): like documents have the same."""
     if not len(doc):
-        return np.zeros(docs, np.int64)
-    _, number, df = np.unique(term, return_inverse=True, return_counts=True)
-    order = np.lexsort((number, df[number], tf, doc))
-    last = np.flatnonzero(np.append(doc[order][1:] != doc[order][:-1], True))
-    out = np.zeros(docs, np.int64)
-    out[doc[order][last]] = number[order][last]
-    return out
+        return np.zeros(0, np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    rank = np.minimum(tf, 255) << 52 | np.minimum(dfs[row], 1 << 20) << 30 | row
+    return np.maximum.reduceat(rank, begin) & ((1 << 30) - 1)
 
 
 def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LexicalIndex:

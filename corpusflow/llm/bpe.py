@@ -21,9 +21,9 @@ from corpusflow.llm.pretokens import ByteLevel, Known
 from corpusflow.llm.slices import bound_batches, slices
 
 # Distinct words whose encodings a worker keeps before it starts anew, and the ids kept with them.
-CACHE_WORDS, CACHE_IDS = 1 << 17, 1 << 20
+CACHE_WORDS, CACHE_IDS = 1 << 19, 1 << 22
 # Pairs of tokens whose compatibility a worker remembers before it starts anew.
-CACHE_PAIRS = 1 << 17
+CACHE_PAIRS = 1 << 18
 # Token ids decoded at once.
 SLICE_IDS = 1 << 18
 

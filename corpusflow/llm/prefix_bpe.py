@@ -13,6 +13,7 @@ import base64
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,9 @@ from corpusflow.llm.pretokens import LETTER, NUMBER, OTHER, SPACE, Known, Splitt
 from corpusflow.llm.slices import bound_batches, slices
 
 # Distinct pre-tokens whose encodings a worker keeps before it starts anew, and ids kept with them.
-CACHE_WORDS, CACHE_IDS = 1 << 18, 1 << 21
+CACHE_WORDS, CACHE_IDS = 1 << 19, 1 << 22
 # Pairs of tokens whose compatibility a worker remembers before it starts anew.
-CACHE_PAIRS = 1 << 17
+CACHE_PAIRS = 1 << 18
 # Longer pre-tokens are encoded but not kept.
 CACHE_CHARS = 256
 
@@ -67,11 +68,11 @@ class RankCodec:
         sizes = np.fromiter(map(len, self.bytes_of), dtype=np.int64, count=len(self.bytes_of))
         self._begin, self._size = np.cumsum(sizes) - sizes, sizes
         self._all = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
-        # Lengths of the tokens that end with the same two bytes, longest first.
-        ends: dict[bytes, set[int]] = {}
-        for spelling in self.ids:
-            ends.setdefault(spelling[-2:], set()).add(len(spelling))
-        self.sizes_by_end = {end: sorted({1, *found}, reverse=True) for end, found in ends.items()}
+        # Finds all tokens that end at a place, bytes standing for the first 256 code points.
+        self.matcher = ahocorasick.Automaton()
+        for spelling, i in self.ids.items():
+            self.matcher.add_word(spelling.decode("latin-1"), (i, len(spelling)))
+        self.matcher.make_automaton()
         self.fits: dict[int, bool] = {}
         self.start_anew()
 
@@ -98,8 +99,9 @@ class RankCodec:
         if found is None:
             if len(self.fits) >= CACHE_PAIRS:
                 self.fits.clear()
-            before = self.bytes_of[a] if a >= 0 else b""
-            found = self.fits[key] = self.merged(before + self.bytes_of[b]) == ([a, b] if a >= 0 else [b])
+            both = (self.bytes_of[a] if a >= 0 else b"") + self.bytes_of[b]
+            # Two tokens that make up a token would have been merged.
+            found = self.fits[key] = (a < 0 or both not in self.ids) and self.merged(both) == ([a, b] if a >= 0 else [b])
         return found
 
     def encode_piece(self, piece: bytes, table: PrefixTable) -> list[int]:
@@ -177,28 +179,25 @@ class PrefixTable:
         self.data = self.data[:size]
         del self.last[size + 1 :]
 
-    def _token_at(self, data: bytes, end: int) -> int:
+    def _tokens_from(self, data: bytes, size: int) -> Iterator[int]:
+        """The last tokens of the prefixes longer than ``size``, each once the one before it is in the table."""
         codec, last = self.codec, self.last
-        ids, fits = codec.ids, codec.fits
-        sizes = codec.sizes_by_end.get(data[max(0, end - 2) : end]) or codec.sizes_by_end[data[end - 1 : end]]
-        for size in sizes:
-            begin = end - size
-            if begin < 0:
-                continue
-            token = ids.get(data[begin:end])
-            if token is None:
+        fits, may_follow = codec.fits, codec.may_follow
+        done = size
+        for at, (token, length) in codec.matcher.iter(data.decode("latin-1"), max(0, size + 1 - codec.longest)):
+            if at < done:
                 continue
-            before = last[begin]
+            before = last[at + 1 - length]
             fit = fits.get((before + 1) << 32 | token)
-            if codec.may_follow(before, token) if fit is None else fit:
-                return token
-        raise AssertionError("every prefix has a last token")
+            if may_follow(before, token) if fit is None else fit:
+                done = at + 1
+                yield token
 
     def append(self, more: bytes) -> None:
         """Add bytes at the end; nothing that is in the table changes."""
         data = self.data = self.data + more
-        for end in range(len(self.last), len(data) + 1):
-            self.last.append(self._token_at(data, end))
+        for token in self._tokens_from(data, len(self.last) - 1):
+            self.last.append(token)
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in place of the bytes from ``start`` to ``stop``; returns how many prefixes were worked out.
@@ -210,8 +209,7 @@ class PrefixTable:
         data = self.data[:start] + new + self.data[stop:]
         self.last, self.data = old[: start + 1], data
         same = 0
-        for end in range(start + 1, len(data) + 1):
-            token = self._token_at(data, end)
+        for end, token in enumerate(self._tokens_from(data, start), start + 1):
             self.last.append(token)
             behind = end - (start + len(new))  # unchanged bytes between the edit and this place
             same = same + 1 if behind > 0 and old[end - shift] == token else 0

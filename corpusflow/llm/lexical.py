@@ -29,7 +29,7 @@ from corpusflow.llm.slices import bound_batches, slices
 from corpusflow.session import stage, work_path
 
 # What a shard holds at most, unless a single slice of texts has more: documents, and postings.
-SHARD_DOCS, SHARD_POSTINGS = 1 << 12, 1 << 20
+SHARD_DOCS, SHARD_POSTINGS = 1 << 12, 1 << 19
 # Items searched at once: a block's bytes of text.
 BLOCK_BYTES = 4 << 20
 # Ranges of documents halved at once: few at first, so that good documents are found early.

@@ -47,7 +47,7 @@ UNSPACED = [
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
     """Of each code point: 0 no part of a word, 1 letter or mark, 2 digit, 3 a word of its own."""
-    inside, _ = _tables()
+    inside, _, _ = _tables()
     kinds = inside.astype(np.int8)
     kinds[np.fromiter((chr(c).isnumeric() for c in range(0x110000)), dtype=bool, count=0x110000) & ~inside] = 2
     for low, high in UNSPACED:
@@ -57,7 +57,7 @@ def _kinds() -> np.ndarray:
 
 def item_words(texts: list[str]) -> LetterWords:
     """Words of texts in lower case: runs of letters, runs of digits, single code points in scripts without spaces."""
-    _, lower = _tables()
+    _, _, lower = _tables()
     raw = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
     points, kind = lower[raw], _kinds()[raw]

@@ -115,7 +115,7 @@ def prefix_entries(tokens: np.ndarray, kind: np.ndarray, num: int, den: int) ->
 
 
 def _profile(df: DataFrame, width: int) -> DataFrame:
-    """(doc, n, cls) of every text: the size and the name of its set."""
+    """(doc, body, n, cls) of every text: the size and the name of its set."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,9 +124,11 @@ def _profile(df: DataFrame, width: int) -> DataFrame:
                 for tokens in shingles(split_words(part), width):
                     sizes.append(len(tokens))
                     keys.append(set_key(tokens))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], names=["doc", "n", "cls"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], names=["doc", "body", "n", "cls"]
+            )
 
-    return stage(df.mapInArrow(profile, "doc long, n long, cls long"), "shingle-profile")
+    return stage(df.mapInArrow(profile, "doc long, body long, n long, cls long"), "shingle-profile")
 
 
 def _classes(df: DataFrame, width: int, num: int, den: int) -> Classes:
@@ -216,7 +218,9 @@ def _sets(df: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     [pa.array(map(set_key, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["cls", "tokens"]
                 )
 
-    docs = df.join(_small(wanted), "doc", "left_semi").select("doc", "text")
+    one = lambda kind: df.join(_small(wanted.where(kind)), ["doc", "body"] if kind == "doc is not null" else "body", "left_semi").where(kind)
+    # Rows without id that are equal are no more than one document here.
+    docs = one("doc is not null").unionByName(one("doc is null").dropDuplicates(["body"])).select("doc", "text")
     return stage(docs.mapInArrow(compute, "cls long, tokens binary"), "shingle-sets")
 
 
@@ -244,8 +248,8 @@ def _verified(pairs: DataFrame, df: DataFrame, classes: DataFrame, width: int, n
 
 
 def _wanted(classes: DataFrame, ends: DataFrame) -> DataFrame:
-    """A document of each class of ``ends``."""
-    return stage(classes.join(ends, "cls", "left_semi").select(F.col("rep").alias("doc")).where("doc is not null"), "wanted")
+    """A document (id and hash of the text) of each class of ``ends``."""
+    return stage(classes.join(ends, "cls", "left_semi").select(F.col("rep.doc").alias("doc"), F.col("rep.body").alias("body")), "wanted")
 
 
 def _blocked(members: DataFrame, known: DataFrame, df: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -327,10 +331,22 @@ def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", w
     """
     if not 3 * den <= 5 * num <= 5 * den:
         raise ValueError("the similarity has to be from 0.6 to 1: groups of frequent shingles are made for that")
+    found = jaccard_groups(df, doc, text, width, num, den)
+    return found.select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), "component_id")
+
+
+def jaccard_groups(df: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """(doc, body, n, group, component_id) for every row of ``df``: see ``jaccard_components``.
+
+    ``body`` is ``xxhash64`` of the text, so that rows of one id and different texts can be told apart;
+    ``group`` names the component (NULL for a text without words), also where no row of it has an id.
+    """
     bound_batches(df.sparkSession)
-    rows = df.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    rows = df.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("body"))
     docs = _profile(rows, width)
-    classes = stage(docs.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep")), "classes")
+    # Of each class one document gives its set: that of the least id, or one without id where no other is.
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "body"))
+    classes = stage(docs.where("n > 0").groupBy("cls").agg(first.alias("rep")), "classes")
     entries = _entries(rows, width, num, den, _classes(rows, width, num, den))
 
     shared = entries.groupBy("entry").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least != most")
@@ -359,8 +375,8 @@ def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", w
     roots = components(links).withColumnRenamed("node", "cls")
     owned = classes.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     owned = stage(owned, "class-roots")
-    names = owned.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = stage(owned.join(names, "root").select("cls", "component_id"), "class-components")
-    out = docs.where("n > 0").join(named, "cls").select("doc", "n", "component_id")
-    out = out.unionByName(docs.where("n = 0").select("doc", "n", F.col("doc").alias("component_id")))
-    return out.select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), "component_id")
+    names = owned.groupBy("root").agg(F.min("rep.doc").alias("component_id"))
+    named = stage(owned.join(names, "root").select("cls", F.col("root").alias("group"), "component_id"), "class-components")
+    out = docs.where("n > 0").join(named, "cls").select("doc", "body", "n", "group", "component_id")
+    alone = docs.where("n = 0").select("doc", "body", "n", F.lit(None).cast("long").alias("group"), F.col("doc").alias("component_id"))
+    return out.unionByName(alone)

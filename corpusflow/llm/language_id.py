@@ -49,17 +49,18 @@ MARK = 0x20
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Is a code point part of a word, and its lower-case form."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Is a code point part of a word, is it a letter, and its lower-case form."""
     import unicodedata
 
-    inside = np.fromiter((chr(c).isalpha() or unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), dtype=bool, count=0x110000)
+    alone = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    inside = alone | np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), dtype=bool, count=0x110000)
     lower = np.arange(0x110000, dtype=np.uint32)
     for c in range(0x20000):
         form = chr(c).lower()
         if len(form) == 1:
             lower[c] = ord(form)
-    return inside, lower
+    return inside, alone, lower
 
 
 def script_of(points: np.ndarray) -> np.ndarray:
@@ -83,12 +84,16 @@ class LetterWords:
 
 
 def letter_words(texts: list[str]) -> LetterWords:
-    inside, lower = _tables()
+    """Runs of letters and marks with a letter in them: a mark alone is no word."""
+    inside, alone, lower = _tables()
     raw = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
     points, letter = lower[raw], inside[raw]
     before = np.concatenate([[False], letter[:-1]])
     start, end = np.flatnonzero(letter & ~before), np.flatnonzero(~letter & before)
+    letters = np.concatenate([[0], np.cumsum(alone[raw])])
+    real = letters[end] > letters[start]
+    start, end = start[real], end[real]
     sums = np.zeros(len(points) + 1, dtype=np.uint64)
     np.cumsum(mix(points + np.uint64(1)) * powers(len(points), _BASE)[:-1], out=sums[1:])
     key = mix((sums[end] - sums[start]) * powers(len(points), _INVERSE)[start] + (end - start).astype(np.uint64))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.llm.components import components
-from corpusflow.llm.jaccard import _blocked, _profile, jaccard_components, prefix_entries
+from corpusflow.llm.jaccard import _blocked, _profile, jaccard_components, jaccard_groups, prefix_entries
 from tests.llm.helpers import invented, shingle_set
 
 
@@ -85,11 +85,12 @@ def test_few_large_sets_leave_blocks_empty(spark, monkeypatch, seed, block):
     texts = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (5, 5, 20, 59)] + [" ".join(base[:40])]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    profile = _profile(df.selectExpr("doc_id AS doc", "text"), 3)
-    classes = profile.groupBy("cls").agg(F.min("doc").alias("rep"))
+    named = df.selectExpr("doc_id AS doc", "text", "xxhash64(text) AS body")
+    profile = _profile(named, 3)
+    classes = profile.groupBy("cls").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "body")).alias("rep"))
     members = profile.select(F.lit(1).cast("long").alias("entry"), "cls").distinct()
     known = spark.createDataFrame([], "node long, root long")
-    links = _blocked(members, known, df.selectExpr("doc_id AS doc", "text"), classes, 3, 80, 100)
+    links = _blocked(members, known, named, classes, 3, 80, 100)
     roots = {r["node"]: r["root"] for r in components(links).collect()}
     got = {r["doc"]: roots.get(r["cls"], r["cls"]) for r in profile.collect()}
     want = {i: root for i, (_, root) in brute(rows, 3, 80, 100).items()}
@@ -118,3 +119,21 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_lead_through_documents_without_id(spark):
+    words = [f"w{i}" for i in range(200)]
+    text = lambda a, b: " ".join(words[a:b])
+    chain = [text(0, 160), text(8, 168), text(16, 176)]  # neighbours are similar, the ends are not
+    for ids, want in (((1, None, 3), [1, 1, 1]), ((1, 2, 3), [1, 1, 1]), ((None, None, None), [None] * 3)):
+        df = spark.createDataFrame([*zip(ids, chain), *zip(ids, chain)], "doc_id long, text string")
+        got = jaccard_components(df, num=85).collect()
+        assert [r["component_id"] for r in got] == sorted(want * 2, key=str) if want[0] else all(r["component_id"] is None for r in got)
+        assert len({r["group"] for r in jaccard_groups(df, num=85).collect()}) == 1
+
+
+def test_different_texts_under_one_id_link_each_by_itself(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    df = spark.createDataFrame([(2, a), (2, b), (7, a + " x"), (9, b + " y")], "doc_id long, text string")
+    got = jaccard_groups(df).collect()
+    assert len({r["group"] for r in got}) == 2 and all(r["component_id"] == 2 for r in got)

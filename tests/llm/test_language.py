@@ -85,3 +85,11 @@ def test_no_labels_no_rows_and_the_fold(spark):
     assert lid.identify_languages(df.limit(0), none).count() == 0
     rows = spark.range(50).withColumn("f", lid.fold(F.col("id"), 3)).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 3 for r in rows)
+
+
+def test_marks_alone_are_no_words(spark):
+    rows = [(1, "one two three", "aa"), (2, "\u2764\ufe0f", None), (3, "\u0301", None), (4, "12 \u0301 !", None), (5, "e\u0301te\u0301", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["language"] for r in lid.identify_languages(df, lid.fit_model(df, "text", "lang")).collect()}
+    assert [(got[i]["lang"], got[i]["score"], got[i]["spans"]) for i in (2, 3, 4)] == [("und", 0.0, [])] * 3
+    assert got[5]["lang"] == "aa" and [(x["begin"], x["end"]) for x in got[5]["spans"]] == [(0, 5)]

@@ -92,5 +92,13 @@ def test_stages_take_nulls_repeated_rows_and_no_rows(spark):
     assert sorted(r["doc_id"] or 0 for r in found.where("text is not null and text != ''").collect()) == [0, 1]
 
 
+def test_near_duplicates_under_a_shared_id(spark):
+    rng = random.Random(9)
+    x, y = invented(rng, 80), invented(rng, 80)
+    rows = [(1, x, "aa", "s"), (2, x + " more", "aa", "s"), (2, y, "aa", "s"), (2, y, "aa", "t"), (None, x, "aa", "s"), (None, x, "aa", "s"), (3, None, None, None), (3, None, None, None)]
+    got = corpus_pipeline.drop_near_duplicates(spark, _documents(spark, rows), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(1, x), (2, y), (None, x), (None, x), (3, None)], key=str)
+
+
 def test_shingles_of_the_stage():
     assert len(shingle_set("a b c d e f", corpus_pipeline.SHINGLE)) == 2

@@ -51,16 +51,26 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the least ``doc_id``.
 
-    Texts without words are near duplicates of nothing. Rows equal in ``doc_id`` and text are one
-    document, and one stays; rows without ``doc_id`` stay.
+    Texts without words are near duplicates of nothing. A document is an id with a text: of different
+    texts under one id each is judged by itself. Rows equal in ``doc_id`` and text are one document, and
+    one of them stays. Rows without ``doc_id`` stay, each.
     """
-    found = jaccard.jaccard_components(docs, width=SHINGLE, num=ALIKE, den=OF)
-    found = stage(found, "near-duplicates")
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    rows = docs.dropDuplicates(["doc_id", "text"]) if repeated else docs
-    return rows.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    found = stage(jaccard.jaccard_groups(docs, width=SHINGLE, num=ALIKE, den=OF).where("doc is not null"), "near-duplicates")
+    one = found.groupBy("doc", "body").agg(F.count(F.lit(1)).alias("rows"), F.min("group").alias("group"))
+    first = one.where("group is not null").groupBy("group").agg(F.min(F.struct("doc", "body")).alias("first"))
+    gone = one.join(first, "group").where(F.struct("doc", "body") != F.col("first")).select("doc", "body")
+    gone, repeated = stage(gone, "near-duplicates-gone"), stage(one.where("rows > 1").select("doc", "body"), "repeated-rows")
+    named = docs.withColumns({"_pipeline.doc": F.col("doc_id").cast("long"), "_pipeline.body": F.xxhash64("text")})
+    own = {"doc": F.col("`_pipeline.doc`"), "body": F.col("`_pipeline.body`")}
+
+    def without(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        small = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+        return rows.join(small, (own["doc"] == small["doc"]) & own["body"].eqNullSafe(small["body"]), how)
+
+    kept = without(named, gone, "left_anti")
+    # Only rows that stand more than once have to meet their like.
+    once = without(kept, repeated, "left_semi").dropDuplicates(["_pipeline.doc", "_pipeline.body"])
+    return without(kept, repeated, "left_anti").unionByName(once).select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from corpusflow import constants as K
 from corpusflow.functions.columns import format_people, normalize_id, quadrant, valid_url
 from corpusflow.functions.text import has_text
 from corpusflow.operators import dedup, joins, profile, quality
-from corpusflow.operators.language import LanguageProfiles, detect_language
+from corpusflow.operators.language import LanguageProfiles, with_language
 from corpusflow.operators.routing import content_route, route_by_language
 from corpusflow.operators.rows import format_people_text
 from corpusflow.session import stage
@@ -70,16 +70,15 @@ def filter_texts(
 ) -> DataFrame:
     """Every text with its route and reason; language is asked only of open rows.
 
-    Languages are found per identifier and text digest, so rows without an
-    identifier, or with the same one, keep their own language. Copies of one row
-    add to the same scores, which does not change the choice.
+    A row's language is worked out from its own text, in the row: identifiers, copies and rows
+    without an identifier play no part in it.
     """
     titled = joins.attach_title(_with_id(texts), None if titles is None else _with_id(titles), K.ID_COL)
     sorted_out = content_route(titled, K.TITLE_COL, K.TEXT_COL, keywords)
-    keyed = sorted_out.withColumn("_key", F.struct(K.ID_COL, F.md5(K.TEXT_COL).alias("digest")))
-    open_rows = keyed.filter(F.col("route").isNull())
-    found = detect_language(open_rows, "_key", K.TEXT_COL, profiles, sample_chars)
-    return route_by_language(keyed.join(found, "_key", "left").drop("_key"), target)
+    asked = sorted_out.withColumn("_asked", F.when(F.col("route").isNull(), F.col(K.TEXT_COL)))
+    found = with_language(asked, "_asked", profiles, sample_chars).drop("_asked")
+    settled = F.when(F.col("route").isNull(), F.col("language"))
+    return route_by_language(found.withColumn("language", settled), target)
 
 
 @dataclass(frozen=True)

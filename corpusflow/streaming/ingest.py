@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,37 +56,48 @@ def stream_multires(
     value: str,
     delay: str,
     floor: int = K.FRAME_FLOOR,
-) -> list[DataFrame]:
-    """The sliding windows of ``multires_windows``, one stream per hop.
+) -> DataFrame:
+    """The sliding windows of ``multires_windows``, all hops in one streaming query.
 
-    Rows later than the watermark are dropped; a window is final once the
-    watermark has passed its end.
+    Two stateful operators in a chain: events are read once and become panes of the greatest common width;
+    each final pane then goes to the windows of every hop. Rows later than the watermark are dropped;
+    a window is final once the watermark has passed its end.
     """
     timed = event_time(stream, ts, delay)
-
-    def at(hop: int) -> DataFrame:
-        frame = F.window(ts, f"{frame_size(hop, floor)} seconds", f"{hop} seconds")
-        return (
-            timed.groupBy(*keys, frame.alias("_w"))
-            .agg(
-                F.count("*").alias("n"),
-                F.sum(value).alias("total"),
-                F.avg(value).alias("mean"),
-                F.max(value).alias("top"),
-            )
-            .select(
-                *keys,
-                F.lit(hop).alias("hop"),
-                F.col("_w.start").alias("w_start"),
-                F.col("_w.end").alias("w_end"),
-                "n",
-                "total",
-                "mean",
-                "top",
-            )
+    sizes = {hop: frame_size(hop, floor) for hop in hops}
+    pane = reduce(gcd, [*sizes, *sizes.values()])
+    panes = timed.groupBy(*keys, F.window(ts, f"{pane} seconds").alias("_pane")).agg(
+        F.count("*").alias("_n"), F.count(value).alias("_filled"), F.sum(value).alias("_sum"), F.max(value).alias("_max")
+    )
+    start = F.col("_pane.start").cast("long")
+
+    def frames(hop: int) -> Column:
+        last = F.floor(start / hop) * hop
+        begins = F.sequence(last, last - (sizes[hop] // hop - 1) * hop, F.lit(-hop).cast("long"))
+        # A window as long as no multiple of the hop reaches back one hop more.
+        begins = F.concat(begins, F.array(last - sizes[hop] // hop * hop)) if sizes[hop] % hop else begins
+        met = F.filter(begins, lambda b: b + sizes[hop] > start)
+        frame = lambda b: F.struct(F.timestamp_seconds(b).alias("start"), F.timestamp_seconds(b + sizes[hop]).alias("end"))
+        return F.transform(met, lambda b: F.struct(F.lit(hop).alias("hop"), frame(b).alias("window")))
+
+    # The windows of a pane have its event time, so that the watermark finishes them as well.
+    late = panes.schema["_pane"].metadata
+    dealt = panes.select(*keys, "_n", "_filled", "_sum", "_max", F.explode(F.concat(*map(frames, hops))).alias("_f"))
+    framed = dealt.select(*keys, "_n", "_filled", "_sum", "_max", F.col("_f.hop").alias("hop"), F.col("_f.window").alias("_w", metadata=late))
+    return (
+        framed.groupBy(*keys, "hop", "_w")
+        .agg(F.sum("_n").alias("n"), F.sum("_sum").alias("total"), F.sum("_filled").alias("_filled"), F.max("_max").alias("top"))
+        .select(
+            *keys,
+            "hop",
+            F.col("_w.start").alias("w_start"),
+            F.col("_w.end").alias("w_end"),
+            "n",
+            "total",
+            F.try_divide("total", "_filled").alias("mean"),
+            "top",
         )
-
-    return [at(h) for h in hops]
+    )
 
 
 def stream_route(

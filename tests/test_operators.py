@@ -182,6 +182,19 @@ def test_cross_fit_takes_its_folds_from_the_data(spark):
         modeling.cross_fit(df.withColumn("fold", F.when(F.col("id") > 0, F.col("fold"))), ["x"], ("v", "e"))
 
 
+def test_cross_fit_rows_that_teach_nothing(spark):
+    data = [(i, i % 2, i / 40, 3.0, 2 * i / 40, i / 40, None if i in (4, 5) else i / 40, 1.0 - i / 40, None if i == 7 else 1.0) for i in range(40)]
+    df = spark.createDataFrame(data, "id int, fold int, x double, c double, x2 double, x3 double, v double, e double, w double")
+    # A constant feature and repeated ones: the fit is the same line.
+    got = modeling.cross_fit(df, ["x", "c", "x2", "x3"], ("v", "e"), weight="w", keep=["id"]).collect()
+    assert len(got) == 40 and all(abs(r["p_v"] - r["id"] / 40) < 1e-6 and abs(r["p_e"] - 1 + r["id"] / 40) < 1e-6 for r in got)
+    alone = modeling.cross_fit(df.filter("fold = 0"), ["x"], ("v", "e")).collect()
+    assert len(alone) == 20 and all(r["p_v"] is None for r in alone)
+    assert modeling.cross_fit(df.limit(0), ["x"], ("v", "e")).count() == 0
+    with pytest.raises(ValueError):
+        modeling.cross_fit(df, ["w"], ("v", "e"))
+
+
 def test_mixup_keeps_rows_without_a_key_and_dotted_names(spark):
     df = spark.createDataFrame([(1, [1.0], "p"), (None, [2.0], "q"), (None, [3.0], "r")], "k int, v array<double>, `a.b` string")
     got = sorted((r["k"] or 0, r["v"], r["a.b"], r["batch"]) for r in sampling.mixup(df, "k", ["v"], lam=0.5).collect())
@@ -271,6 +284,33 @@ def test_language_against_brute_force(spark):
     assert dict(rows(language.detect_language(df, "id", "t", profiles))) == {i: best(t) for i, t in enumerate(texts)}
 
 
+def test_language_is_settled_in_the_row(spark):
+    profiles = language.fit_language_profiles(_toy_languages(spark), "t", "lang")
+    df = spark.createDataFrame([(1, "the the", "x"), (1, "le le", "y"), (None, "der der", "z"), (None, None, "z")], "id int, t string, language string")
+    found = language.with_language(df, "t", profiles)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == sorted([(1, "the the", "en"), (1, "le le", "fr"), (None, "der der", "de"), (None, None, "unknown")], key=repr)
+    assert language.with_language(df.limit(0), "t", profiles).count() == 0
+    nothing = language.fit_language_profiles(_toy_languages(spark).limit(0), "t", "lang")
+    assert {r["language"] for r in language.with_language(df, "t", nothing).collect()} == {"unknown"}
+
+
+def test_direct_address_table_finds_every_trigram():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    grams = np.unique(rng.integers(0, 1 << 62, 5000))
+    table = language.GramTable(grams, np.arange(len(grams)).reshape(-1, 1), [-7])
+    assert (table.scores[0][table.place(grams)] == np.arange(len(grams))).all()
+    others = np.setdiff1d(rng.integers(0, 1 << 62, 1000), grams)
+    assert (table.scores[0][table.place(others)] == -7).all()
+    assert table.best(np.concatenate([grams[:3], others[:4]]), np.array([0, 3, 7])).tolist() == [-1, 0, -1]
+    texts = ["", "ab", "abc", "日本語x", "𝔘𝔫𝔦"]
+    packed, ends = language.packed_trigrams(texts)
+    want = [t[i : i + 3] for t in texts for i in range(len(t) - 2)]
+    assert ["".join(chr(g >> s & 0x1FFFFF) for s in (42, 21, 0)) for g in packed.tolist()] == want and ends.tolist() == [0, 0, 1, 3, 4]
+
+
 def test_routes_add_up(spark):
     data = [("1", "Best of", "a"), ("2", "x", None), ("3", "x", " "), ("4", "x", "(a)\n(b)\n(c)"), ("5", "x", "the cat the"),
             ("6", None, "le chien le"), (None, "x", "the dog the"), (None, "x", "le chat le"), ("5", "x", "le chat le")]

@@ -145,6 +145,18 @@ def test_stream_windows_equal_batch_on_closed_windows(spark, tmp_path):
     batch = windows.multires_windows(spark.read.parquet(src), "ts", [60, 120], ["k"], "v", 240)
     closed = batch.filter(F.unix_seconds("w_end") <= 199 * 30)
     assert rows(got) == rows(closed) and got.count() > 100
+    # One query, in which the events are read once.
+    assert streams._jdf.queryExecution().analyzed().toString().count("FileSource") == 1
+
+
+@pytest.mark.parametrize("hops, floor", [([10], 25), ([7, 20], 30)])
+def test_stream_windows_of_odd_lengths(spark, tmp_path, hops, floor):
+    src = str(tmp_path / "src")
+    _events(spark, src, 0, 60)
+    streams = ingest.stream_multires(ingest.file_stream(spark, src, SCHEMA), "ts", hops, ["k"], "v", "0 seconds", floor)
+    got = ingest.run_to_table(streams, str(tmp_path / "sink"), str(tmp_path / "state"))
+    batch = windows.multires_windows(spark.read.parquet(src), "ts", hops, ["k"], "v", floor)
+    assert rows(got) == rows(batch.filter(F.unix_seconds("w_end") <= 59 * 30))
 
 
 def test_progress_and_routes(spark, tmp_path):

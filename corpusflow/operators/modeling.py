@@ -121,7 +121,7 @@ def cross_fit(
 
     def predicted(line: str, out: str) -> Column:
         value = reduce(lambda a, i: a + F.get(line, F.lit(i + 1)) * F.col(f"_x{i}"), range(k), F.get(line, F.lit(0)))
-        return F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)).alias(out)
+        return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0))).alias(out)
 
     # One row a fold.
     return plain.join(F.broadcast(lines), "_fold").select(

@@ -129,6 +129,57 @@ def test_exact_admission_over_batches(spark, tmp_path):
     assert rows(got, "k", "seq") == [("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3), ("k4", 4), ("k5", 5)]
 
 
+def _store(spark, path, batches):
+    for batch, ids in batches.items():
+        store = admission.KeyStore(spark, path, "k", "bigint")
+        store.write(spark.createDataFrame([(i, f"row{i}") for i in ids], "k long, note string"), f"batch_id={batch}")
+        store.write_filters(batch)
+    return admission.KeyStore(spark, path, "k", "bigint")
+
+
+def test_new_keys_open_no_old_part(spark, tmp_path):
+    store = _store(spark, str(tmp_path / "keys"), {0: range(500), 1: range(500, 520)})
+    keys = lambda ids: spark.createDataFrame([(i,) for i in ids], "k long")
+    assert store.may_hold(keys(range(10_000, 10_050)), 9) == []
+    met = store.may_hold(keys([3, 510]), 9)
+    assert [b for b, _ in met] == [0, 1] and all(len(buckets) == 1 for _, buckets in met)
+    files = store.stored(met).select(F.input_file_name()).distinct()
+    assert files.count() == 2 and {3, 510} <= {r["k"] for r in store.stored(met).collect()}
+    assert store.may_hold(keys([510]), 1) == []  # a batch that is done again does not meet itself
+    everything = store.may_hold(keys(range(520)), 9)
+    assert {r["k"] for r in store.stored(everything).collect()} == set(range(520))
+
+
+def test_folders_are_merged_and_a_broken_merge_is_ended(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(admission, "FOLDERS", 3)
+    monkeypatch.setattr(admission, "KEYS_PER_PART", 1)
+    path = str(tmp_path / "keys")
+    store = _store(spark, path, {0: range(300), 1: range(300, 310), 2: range(310, 330), 3: range(330, 340)})
+    want = [(i, f"row{i}") for i in range(340)]
+    finish = store._finish_merge
+    store._finish_merge = lambda: (_ for _ in ()).throw(KeyboardInterrupt)  # the driver dies
+    with pytest.raises(KeyboardInterrupt):
+        store.merge(4)
+    assert rows(spark.read.parquet(path), "k", "note") == sorted(want, key=repr)
+    store.files.delete("batch_id=1")  # half way through
+    store._finish_merge = finish
+    again = admission.KeyStore(spark, path, "k", "bigint")
+    assert again.files.batches() == [0, 3] and again.files.batches("_filters") == [0, 3]
+    assert rows(spark.read.parquet(path), "k", "note") == sorted(want, key=repr)
+    keys = spark.createDataFrame([(i,) for i in (305, 335)], "k long")
+    assert [b for b, _ in again.may_hold(keys, 9)] == [3]
+    assert [f[3] for f in again.folders(9)] == [300, 40]
+
+
+def test_a_replayed_batch_stores_no_key_twice(spark, tmp_path):
+    src, sink, state = (str(tmp_path / n) for n in ("src", "sink", "state"))
+    _events(spark, src, 0, 5)
+    admission.admit_to_table(ingest.file_stream(spark, src, SCHEMA), "k", ["seq"], sink, state).awaitTermination()
+    before = rows(spark.read.parquet(sink), "k", "seq")
+    admission.admit_to_table(ingest.file_stream(spark, src, SCHEMA), "k", ["seq"], sink, str(tmp_path / "other")).awaitTermination()
+    assert rows(spark.read.parquet(sink), "k", "seq") == before
+
+
 def test_admission_within_watermark(spark, tmp_path):
     src = str(tmp_path / "src")
     _events(spark, src, 0, 40)

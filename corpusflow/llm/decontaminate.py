@@ -12,12 +12,13 @@ Items too short for that can be looked for word for word, by the hashes of all r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ from corpusflow.llm.bpe import spans
 from corpusflow.llm.language_id import LetterWords, _tables
 from corpusflow.llm.pretokens import mix, powers
 from corpusflow.llm.slices import bound_batches, slices
+from corpusflow.session import work_path
+from corpusflow.sources.tables import read_if_present
 
 # Edits allowed, as a share of an item's words; items of fewer words are looked for word for word or not at all.
 MAX_EDITS, MIN_WORDS = 0.2, 8
@@ -173,8 +176,8 @@ class Items:
         end = np.maximum(np.minimum(at, last - size), begin)  # a text shorter than the item is one window
         count = end - begin + 1
         start, size = spans(begin, count), np.repeat(size, count)
-        windows = np.unique(start * (1 << 20) + size)
-        start, size = windows >> 20, windows & ((1 << 20) - 1)
+        base = int(size.max()) + 1
+        start, size = np.divmod(np.unique(start * base + size), base)
         real = np.minimum(size, words.first[1:][owner[start]] - start)
         # A window within the bound of an item has all words but so many from items.
         known = np.concatenate([[0], np.cumsum(self._is_known(words.key))])
@@ -262,9 +265,9 @@ class ShortItems:
         return out
 
 
-def leak_column(df: DataFrame, text: Column, items: Items | ShortItems) -> Column:
-    """Array of (item, edits) that a text holds."""
-    shared = df.sparkSession.sparkContext.broadcast(items)
+def leak_column(df: DataFrame, text: Column, items: Items | ShortItems, shared: Broadcast | None = None) -> Column:
+    """Array of (item, edits) that a text holds; ``shared`` is the broadcast of ``items`` where the caller ends it."""
+    shared = shared or df.sparkSession.sparkContext.broadcast(items)
 
     @F.arrow_udf("array<struct<item:bigint,edits:int>>")
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -300,12 +303,38 @@ def find_leaks(
     rows = benchmark.select(F.col(f"`{item}`").cast("long").alias("item"), F.col(f"`{item_text}`").alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // BLOCK_BYTES
-    found = []
-    for b in range(blocks):
+    body = F.col(f"`{text}`")
+
+    def block(b: int) -> list[Items | ShortItems]:
         part = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         held = [(r["item"], r["text"]) for r in part.collect()]
-        for items in (Items.build(held, max_edits, min_words), ShortItems.build(held, min_words) if short_items else None):
-            if items is not None:
-                found.append(leak_column(df, F.col(f"`{text}`"), items))
+        built = (Items.build(held, max_edits, min_words), ShortItems.build(held, min_words) if short_items else None)
+        return [items for items in built if items is not None]
+
+    if blocks > 1:
+        return _by_block(df, body, blocks, block, out)
+    found = [leak_column(df, body, items) for items in block(0)]
     none = F.array().cast("array<struct<item:bigint,edits:int>>")
     return df.withColumn(out, F.array_sort(F.concat(*found)) if len(found) > 1 else found[0] if found else none)
+
+
+def _by_block(df: DataFrame, body: Column, blocks: int, block: Callable[[int], list[Items | ShortItems]], out: str) -> DataFrame:
+    """The leaks of many items: one block at a time is on the driver and broadcast, its leaks are a table.
+
+    What a text holds depends on the text alone, so leaks are kept by two hashes of it and copies share them.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "leaks")
+    names = F.xxhash64(body).alias("h"), F.xxhash64(F.lit(1), body).alias("g")
+    for b in range(blocks):
+        for k, items in enumerate(block(b)):
+            shared = spark.sparkContext.broadcast(items)
+            some = df.select(*names, leak_column(df, body, items, shared).alias("leaks")).where(F.size("leaks") > 0)
+            some.dropDuplicates(["h", "g"]).write.parquet(f"{path}/block={2 * b + k}")
+            shared.destroy()
+    schema = "h long, g long, leaks array<struct<item:bigint,edits:int>>"
+    held = spark.read.schema(schema).parquet(path) if read_if_present(spark, path) is not None else spark.createDataFrame([], schema)
+    leaks = held.groupBy("h", "g").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    row = F.struct(*[f"`{c}`" for c in df.columns if c != out]).alias("row")
+    met = df.select(row, *names).join(leaks, ["h", "g"], "left")
+    return met.select("row.*", F.coalesce("leaks", F.array().cast("array<struct<item:bigint,edits:int>>")).alias(out))

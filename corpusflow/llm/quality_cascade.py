@@ -103,18 +103,34 @@ class Rule:
     rejects: Column
 
 
-def standard_rules(text: Column) -> list[Rule]:
+def text_counts(text: Column) -> dict[str, Column]:
+    """What the standard rules look at; each is dear enough to be worked out once a row."""
+    return {
+        "n_words": n_words(text),
+        "word_chars": word_chars(text),
+        "n_symbols": n_symbols(text),
+        "n_dup_lines": n_dup_lines(text),
+        "n_repeat_words": n_repeat_words(text),
+        "n_lines": F.size(F.split(F.coalesce(text, F.lit("")), "\n")),
+    }
+
+
+def rules_on(counts: dict[str, Column]) -> list[Rule]:
     """Rejects texts with few words, much repetition, many symbols, repeated lines or odd word lengths."""
-    n = n_words(text)
+    n = counts["n_words"]
     return [
         Rule("few_words", n < 50),
-        Rule("repeated_words", 100 * n_repeat_words(text) > 50 * n),
-        Rule("symbols", 100 * n_symbols(text) > 30 * n),
-        Rule("duplicate_lines", 100 * n_dup_lines(text) > 50 * F.size(F.split(F.coalesce(text, F.lit("")), "\n"))),
-        Rule("word_length", let(F.struct(word_chars(text).alias("c"), n.alias("n")), lambda x: (x["c"] < 2 * x["n"]) | (x["c"] > 20 * x["n"]))),
+        Rule("repeated_words", 100 * counts["n_repeat_words"] > 50 * n),
+        Rule("symbols", 100 * counts["n_symbols"] > 30 * n),
+        Rule("duplicate_lines", 100 * counts["n_dup_lines"] > 50 * counts["n_lines"]),
+        Rule("word_length", let(F.struct(counts["word_chars"].alias("c"), n.alias("n")), lambda x: (x["c"] < 2 * x["n"]) | (x["c"] > 20 * x["n"]))),
     ]
 
 
+def standard_rules(text: Column) -> list[Rule]:
+    return rules_on(text_counts(text))
+
+
 @dataclass(frozen=True)
 class Measured:
     """A rule with what the sample showed: seconds a row and share of rows rejected."""

@@ -154,19 +154,17 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.col("text")
-    ordered = quality.measure_rules(docs, quality.standard_rules(text), ["text"])
-    judged = quality.apply_cascade(docs, [m.rule for m in ordered])
-    counted = judged.select(
-        "doc_id",
-        quality.n_words(text).alias("n_words"),
-        quality.word_chars(text).alias("word_chars"),
-        quality.n_symbols(text).alias("n_symbols"),
-        quality.n_dup_lines(text).alias("n_dup_lines"),
-        quality.n_repeat_words(text).alias("n_repeat_words"),
-        F.col("rejected_by").isNull().alias("kept"),
-    )
+    order = [m.rule.name for m in quality.measure_rules(docs, quality.standard_rules(text), ["text"])]
+    # The counts are wanted of every row, so the rules read them instead of the text.
+    counts = quality.text_counts(text)
+    counted = docs.select("doc_id", *[c.alias(name) for name, c in counts.items()])
+    rules = quality.rules_on({name: F.col(name) for name in counts})
+    judged = quality.apply_cascade(counted, sorted(rules, key=lambda r: order.index(r.name)))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"),
+    )
 
 
 @query(

@@ -64,3 +64,12 @@ def test_clashing_columns_null_verdicts_and_no_rows(spark):
     null = quality.apply_cascade(df, [quality.Rule("null", F.col("text") == "x")], "verdict").where("verdict is null").count()
     assert null == 2
     assert quality.filter_quality(df.limit(0)).count() == 0
+
+
+def test_the_query_works_each_count_out_once(spark, tmp_path):
+    from corpusflow.llm import queries
+
+    spark.createDataFrame([(i, t) for i, t in enumerate(_texts())], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    dear = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("sort_array(")
+    alone = spark.read.parquet(f"{tmp_path}/documents.parquet").select(quality.n_repeat_words(F.col("text")).alias("n"))
+    assert dear(queries.op8_quality_cascade(spark, str(tmp_path))) == dear(alone) > 0

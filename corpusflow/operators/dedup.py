@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.columns import match_key
+from corpusflow.functions.columns import match_key, normalize_id
 from corpusflow.operators.index import dense_index
 
 
@@ -74,7 +74,8 @@ def admit_new(
 
 
 def distinct_ids(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key).distinct()
+    """Distinct identifiers as stripped texts; blank, ``nan`` and NULL are none."""
+    return df.select(normalize_id(key).alias(key)).filter(F.col(key).isNotNull()).distinct()
 
 
 def sorted_counts(df: DataFrame, key: str) -> DataFrame:

@@ -51,7 +51,7 @@ def curate_catalog(
     # Invalid identifiers are NULL by now.
     rows = dedup.dedup_first(meta.na.drop(subset=required), [K.ID_COL], order_by)
     ids = features.filter(F.col(K.ID_COL).isNotNull())
-    joined = joins.enrich_left(rows, dedup.dedup_first(ids, [K.ID_COL], feature_order), K.ID_COL)
+    joined = joins.enrich_left(rows, dedup.dedup_first(ids, [K.ID_COL], feature_order), K.ID_COL, hot_rows=None)
     named = joined.withColumn(K.PEOPLE_COL, _people(joined))
     if title in named.columns:
         named = dedup.dedup_by_match_key(named, [title, K.PEOPLE_COL], order_by)

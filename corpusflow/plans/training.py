@@ -12,7 +12,8 @@ from corpusflow.functions.arrays import minmax_scale, power_to_db, resample_line
 from corpusflow.functions.columns import quadrant
 from corpusflow.operators import joins, metrics, profile, sampling
 from corpusflow.operators.quality import require_columns
-from corpusflow.operators.vocab import encode, stored_vocab
+from corpusflow.operators.vocab import encode_windows, stored_vocab
+from corpusflow.session import stage
 
 
 def scaled_features(series: str, points: int):
@@ -32,13 +33,23 @@ def assemble_samples(
     points: int = 256,
     length: int = K.ENCODED_LENGTH,
 ) -> DataFrame:
-    """Rows with an asset, as fixed-width token ids, tones, labels and features."""
+    """Rows with an asset, as fixed-width token ids, tones, labels and features.
+
+    The whole text counts: a row for each window of ``length`` tokens, numbered
+    by ``part``. Part 0 alone is the fixed-width sample of one row a text.
+    """
     with_asset = joins.attach_preferred_asset(df, assets, key)
-    encoded = encode(with_asset, key, text, vocab, length)
+    return _with_windows(_labelled(with_asset, key, v, e, series, points), with_asset, vocab, key, text, length)
+
+
+def _labelled(df: DataFrame, key: str, v: str, e: str, series: str | None, points: int) -> DataFrame:
     labels = F.array(F.col(v).cast("float"), F.col(e).cast("float")).alias("labels")
     extra = [scaled_features(series, points).alias("features")] if series else []
-    rows = with_asset.select(key, "path", labels, quadrant(v, e).alias("quadrant"), *extra)
-    return rows.join(encoded, key)
+    return df.select(key, "path", labels, quadrant(v, e).alias("quadrant"), *extra)
+
+
+def _with_windows(rows: DataFrame, texts: DataFrame, vocab: DataFrame, key: str, text: str, length: int) -> DataFrame:
+    return rows.join(encode_windows(texts, key, text, vocab, length), key)
 
 
 @dataclass(frozen=True)
@@ -58,13 +69,24 @@ def prepare_training(
     vocab_tokens: int | None = None,
     folds: int = K.FOLDS,
     seed: int = K.SEED,
+    points: int = 256,
+    length: int = K.ENCODED_LENGTH,
 ) -> TrainingSet:
-    """Vocabulary, encoded samples, class weights and stratified folds."""
+    """Vocabulary, encoded samples, class weights and stratified folds.
+
+    Weights and folds belong to a text: all its windows (``part``) share them.
+    They are settled on rows without texts, which meet the windows once.
+    """
     require_columns(ready, [key, v, e, text], "training table")
     vocab = stored_vocab(ready, key, text, max_tokens=vocab_tokens)
-    samples = assemble_samples(ready, assets, vocab, key, text, v, e, series)
-    weighted = profile.attach_class_weights(samples, "quadrant", classes=4)
-    return TrainingSet(sampling.stratified_folds(weighted, key, "quadrant", folds, seed), vocab)
+    with_asset = joins.attach_preferred_asset(ready, assets, key)
+    rows = stage(_labelled(with_asset, key, v, e, series, points), "samples")
+    weighted = profile.attach_class_weights(rows.select(key, "quadrant"), "quadrant", classes=4)
+    folded = sampling.stratified_folds(weighted, key, "quadrant", folds, seed).drop("quadrant")
+    # Only texts of samples are encoded.
+    texts = joins.synced(ready.select(key, text), rows, key)
+    samples = _with_windows(rows.join(folded, key), texts, vocab, key, text, length)
+    return TrainingSet(samples, vocab)
 
 
 @dataclass(frozen=True)

@@ -10,18 +10,25 @@ from corpusflow.functions.columns import strip
 
 
 def scan_assets(
-    spark: SparkSession, folder: str, suffix: str = ".mp3", id_col: str = K.ID_COL, glob: str | None = None
+    spark: SparkSession,
+    folder: str,
+    suffix: str = ".mp3",
+    id_col: str = K.ID_COL,
+    glob: str | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """(id, path, size) of non-empty files with the suffix; contents are not read.
 
     ``glob`` names the files if not all that end in the suffix are meant.
+    ``nested`` takes in folders below ``folder``; more than
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` of them are listed
+    by tasks, so large collections belong into folders by a part of their name.
 
     The identifier is the file name without its suffix. Spark's file source
     leaves zero-length files out.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob or f"*{suffix}").load(folder)
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob or f"*{suffix}")
+    files = reader.option("recursiveFileLookup", nested).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     listed = files.select("path", F.col("length").alias("size"), name.alias("_name"))
     stem = F.expr(f"substring(_name, 1, char_length(_name) - {len(suffix)})")

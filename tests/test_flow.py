@@ -106,3 +106,12 @@ def test_training_set(spark, master):
     assert [rows[k]["quadrant"] for k in ("s1", "s3", "s7")] == [3, 1, 2]
     assert all(len(r["ids"]) == len(r["tones"]) == 200 and r["weight"] == 0.75 for r in rows.values())
     assert list(rows["s3"]["labels"]) == pytest.approx([0.2, 0.7])
+
+    cut = training.prepare_training(numbered, assets, folds=2, length=2).samples
+    parts = {}
+    for r in cut.orderBy("part").collect():
+        parts.setdefault(r[K.ID_COL], []).append(r)
+    for k, windows in parts.items():
+        whole = [i for r in windows for i in r["ids"]]
+        assert whole[: len(whole)] == rows[k]["ids"][: len(whole)] and not any(rows[k]["ids"][len(whole):])
+        assert {(r["fold"], r["weight"]) for r in windows} == {(rows[k]["fold"], 0.75)}

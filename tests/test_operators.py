@@ -44,6 +44,31 @@ def test_enrich_left_keeps_left_and_fans_out(spark):
     assert rows(joins.enrich_left(left, right, "id")) == [(1, "l", 10), (1, "l", 11), (2, "m", None)]
 
 
+def test_enrich_left_deals_out_hot_right_keys(spark):
+    """A third of the right rows on one key: no row changes, and no task gets them all."""
+    left = spark.createDataFrame([(1, "l"), (1, "l"), (2, "m"), (3, "n"), (None, "o")], "id int, `a.b` string")
+    right = spark.range(30_000).selectExpr("if(id % 3 = 0, 1, if(id % 3 = 1, cast(id as int), null)) AS id", "id AS y", "'r' AS `a.b`")
+    cols = ["id", "`a.b`", "y"]
+    want = rows(joins.enrich_left(left, right, "id", hot_rows=None), *cols)
+    dealt = joins.enrich_left(left, right, "id", hot_rows=500)
+    assert dealt.columns == ["id", "a.b", "y"] and rows(dealt, *cols) == want
+    assert joins.hot_keys(right, "id", 500) == [("1", 21)]
+    assert joins.enrich_left(left, right.limit(0), "id").count() == 5
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = joins.enrich_left(left.where("id = 1"), right, "id", 500).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in spread) < 0.6 * 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_ids_are_stripped(spark):
+    df = spark.createDataFrame([(" a",), ("a\t",), ("b",), ("",), ("  ",), ("NaN",), (None,)], "id string")
+    assert rows(dedup.distinct_ids(df, "id")) == [("a",), ("b",)]
+
+
 def test_missing_keys_match_nothing(spark):
     left = spark.createDataFrame([(None, "a"), ("1", "b")], "id string, x string")
     got = spark.createDataFrame([(None,), ("2",)], "id string")
@@ -104,6 +129,18 @@ def test_hash_index_keeps_rows_without_group(spark):
     assert sorted(r["pos"] for r in got.filter("g is not null").collect()) == list(range(10))
 
 
+def test_hash_index_ranks_keys_in_buckets_and_scans_once(spark, tmp_path):
+    df = spark.range(2_000).selectExpr("id", "id % 3 AS g", "repeat('x', 50) AS wide", "1 AS `a.b`")
+    want = rows(index.hash_index(df, "id", group="g"), "id", "pos")
+    got = index.hash_index(df, "id", group="g", bucket_rows=100)
+    assert got.columns == ["id", "g", "wide", "a.b", "pos"] and rows(got, "id", "pos") == want
+    df.write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    plan = index.hash_index(read, "id", group="g")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("wide#") and plan.count("Relation [id#") == 1
+    assert index.hash_index(df.limit(0), "id").count() == 0
+
+
 def test_index_has_no_wide_single_partition(spark):
     """The only one-partition exchange carries bucket counts, not rows."""
     plan = index.hash_index(spark.range(10), "id")._jdf.queryExecution().executedPlan().toString()
@@ -119,6 +156,14 @@ def test_running_progress(spark):
     assert got == sorted([("r", 50, 38, 12, 130), ("r", 100, 75, 25, 130), ("r", 130, 98, 32, 130), (None, 1, 1, 0, 1)], key=repr)
 
 
+def test_running_progress_of_sparse_numbers(spark):
+    """Arrival numbers as far apart as seconds: blocks follow ranks, over both levels of sums."""
+    log = spark.createDataFrame([(r, 1_700_000_000 + 977 * i * i, i % 3 != 0) for i in range(300) for r in ("a", "b")], "run string, seq long, ok boolean")
+    got = rows(index.running_progress(log, "run", "seq", F.col("ok"), every=100, width=4), "run", "completed", "success", "total")
+    assert got == [(r, n, n - (n + 2) // 3, 300) for r in ("a", "b") for n in (100, 200, 300)]
+    assert index.running_progress(log.limit(0), "run", "seq", F.col("ok")).count() == 0
+
+
 def test_imbalance_and_absent_quadrants(spark):
     df = spark.createDataFrame([(0,)] * 3 + [(1,)] * 3 + [(2,)] * 3, "quadrant int")
     assert profile.imbalance(df).first()["imbalanced"] is False
@@ -236,9 +281,34 @@ def test_encoding_with_a_vocabulary_too_large_to_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 9))) for i in range(40)], "id int, t string")
     words = vocab.stored_vocab(df, "id", "t")
     small = rows(vocab.encode(df, "id", "t", words, 5))
+    windows = rows(vocab.encode_windows(df, "id", "t", words, 3))
+    monkeypatch.setattr(vocab, "LOOKUP_TOKENS", 3)
     monkeypatch.setattr(vocab, "BROADCAST_BYTES", 10)
     monkeypatch.setattr(vocab, "HEAD_TOKENS", 2)
     assert rows(vocab.encode(df, "id", "t", words, 5)) == small
+    assert rows(vocab.encode_windows(df, "id", "t", words, 3)) == windows
+
+
+def test_windows_hold_whole_texts_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, "a b a b a"), (2, ""), (3, None), (4, "a b c"), (5, "a")], "id int, t string")
+    words = vocab.stored_vocab(df, "id", "t")
+    out = vocab.encode_windows(df, "id", "t", words, 3)
+    assert rows(out, "id", "part", "ids") == [
+        (1, 0, [2, 3, 2]), (1, 1, [3, 2, 0]), (2, 0, [0, 0, 0]), (3, 0, [0, 0, 0]), (4, 0, [2, 3, 1]), (5, 0, [2, 0, 0])]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert rows(vocab.encode(df, "id", "t", words.limit(0), 2), "id", "ids")[0] == (1, [1, 1])
+    assert vocab.encode_windows(df.limit(0), "id", "t", words).count() == 0
+
+
+def test_vocabulary_of_text_keys_sorts_no_tokens(spark):
+    df = spark.createDataFrame([("b", "x y x"), (None, "z y"), ("a", "w x z w")], "id string, t string")
+    words = vocab.build_vocab(df, "id", "t")
+    # The text without a key comes first.
+    assert rows(words, "token_id", "token", "freq") == [(2, "z", 2), (3, "y", 2), (4, "w", 2), (5, "x", 3)]
+    assert dict(words.dtypes)["token_id"] == "bigint"
+    numbered = vocab._numbered(df, "id")
+    assert rows(numbered, "_doc", "id") == [(0, None), (1, "a"), (2, "b")]
 
 
 def _toy_languages(spark):

@@ -310,9 +310,16 @@ def admit_new(spark, sf):
     return dedup.admit_new(batch, seen, "user_id", ["event_id"], target=100)
 
 
-@query("distinct_ids", "SELECT DISTINCT l_suppkey FROM lineitem")
+@query(
+    "distinct_ids",
+    "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM lineitem WHERE l_linenumber <> 7 AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0",
+)
 def distinct_ids(spark, sf):
-    return dedup.distinct_ids(table(spark, sf, "lineitem"), "l_suppkey")
+    """Identifiers as texts with blanks and tabs around them; some are blank, ``nan`` or missing."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    padded = F.concat(F.repeat(F.lit(" "), n % 3), F.col("l_suppkey").cast("string"), F.repeat(F.lit("\t"), n % 2))
+    bare = F.when(n == 7, F.lit(" NaN ")).when(k % 11 == 0, F.lit("  ")).when(k % 13 != 0, padded)
+    return dedup.distinct_ids(table(spark, sf, "lineitem").select(bare.alias("id")), "id")
 
 
 @query("cap", "SELECT event_id, ts, user_id FROM events ORDER BY ts, event_id LIMIT 500")

@@ -11,7 +11,7 @@ from workload.cleaning import EXT_SQL, KEYWORDS, LINE_ORDER, document_assets
 from workload.profiles import _NAMES, _rounded, _sql, MEASURES, PREDICTIONS, predictions
 from workload.registry import dealt, documents, query, table
 from workload.samples import u48
-from workload.texts import ENCODED, language_sql, vocab_sql
+from workload.texts import WINDOWS, language_sql, vocab_sql
 
 
 @query(
@@ -206,23 +206,24 @@ _READY = f"""ready AS (SELECT d.doc_id, text, quality, toxic, {EXT_SQL} AS ext
 
 @query(
     "prepare_training",
-    f"""WITH {_READY}, {vocab_sql(source="ready")}, {ENCODED},
+    f"""WITH {_READY}, {vocab_sql(source="ready")}, {WINDOWS},
         sm AS (SELECT doc_id, '/a/' || doc_id || ext AS path, quality, toxic, quality * 2 + toxic AS quadrant
                FROM ready WHERE ext IS NOT NULL),
-        c AS (SELECT quadrant, count(*) AS n FROM sm GROUP BY 1)
-        SELECT doc_id, path, quadrant, CAST(quality AS DOUBLE) AS v, CAST(toxic AS DOUBLE) AS e, ids, tones,
-               round((SELECT count(*) FROM sm)::DOUBLE / (4 * n), 9) AS weight,
-               CAST((row_number() OVER (ORDER BY quadrant, {u48("'42:' || doc_id")}, doc_id) - 1) % 5 AS INTEGER) AS fold
-        FROM sm JOIN c USING (quadrant) JOIN encoded USING (doc_id)""",
+        c AS (SELECT quadrant, count(*) AS n FROM sm GROUP BY 1),
+        f AS (SELECT doc_id, CAST((row_number() OVER (ORDER BY quadrant, {u48("'42:' || doc_id")}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM sm)
+        SELECT doc_id, part, path, quadrant, CAST(quality AS DOUBLE) AS v, CAST(toxic AS DOUBLE) AS e, ids, tones,
+               round((SELECT count(*) FROM sm)::DOUBLE / (4 * n), 9) AS weight, fold
+        FROM sm JOIN c USING (quadrant) JOIN f USING (doc_id) JOIN windows USING (doc_id)""",
 )
 def prepare_training(spark, sf):
+    """All windows of all texts, with the weights and folds of their texts."""
     labels = table(spark, sf, "labels")
     ready = documents(spark, sf).select("doc_id", "text").join(labels, "doc_id")
     made = training.prepare_training(
         ready, document_assets(spark, sf), key="doc_id", text="text", v="quality", e="toxic"
     ).samples
     return made.select(
-        "doc_id", "path", "quadrant", "fold",
+        "doc_id", "part", "path", "quadrant", "fold",
         F.get("labels", F.lit(0)).cast("double").alias("v"),
         F.get("labels", F.lit(1)).cast("double").alias("e"),
         F.round("weight", 9).alias("weight"),
@@ -253,7 +254,8 @@ def assemble_samples(spark, sf):
     made = training.assemble_samples(
         ready, document_assets(spark, sf), words, "doc_id", "text", "quality", "toxic", series="power", points=128
     )
-    return made.select("doc_id", F.posexplode("features").alias("pos", "x")).withColumn("x", F.round("x", 5))
+    # A text's features are the same in all its windows.
+    return made.where("part = 0").select("doc_id", F.posexplode("features").alias("pos", "x")).withColumn("x", F.round("x", 5))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.session import work_path
-from corpusflow.sources import items, tables
+from corpusflow.sources import assets, items, tables
 from workload.registry import query, table
 
 
@@ -99,3 +99,47 @@ def flatten_items(spark, sf):
     raw = F.when(k == 0, F.col("props")).when(k == 1, nested).otherwise(F.lit("null"))
     schema = T.StructType.fromDDL("k long, meta struct<source: string>")
     return items.flatten_items(table(spark, sf, "events").select("event_id", raw.alias("raw")), "raw", schema)
+
+
+# Folders that the assets of a query are spread over.
+FOLDERS = 40
+
+
+def _assets(spark, sf):
+    """The payloads of ``pages`` as files, every seventh of them empty."""
+    folder = work_path(spark, "assets")
+
+    def write(rows):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        for row in rows:
+            place = f"{root}/{row['page_id'] % FOLDERS}"
+            system.create_dir(place, recursive=True)
+            with system.open_output_stream(f"{place}/{row['page_id']}.html", compression=None) as out:
+                out.write((row["html"] or "").encode() if row["page_id"] % 7 else b"")
+
+    table(spark, sf, "pages").select("page_id", "html").foreachPartition(write)
+    return assets.scan_assets(spark, folder, ".html", "id", nested=True)
+
+
+_ASSETS_SQL = """SELECT CAST(page_id AS VARCHAR) AS id,
+                        CAST(CASE WHEN page_id % 7 = 0 THEN 0 ELSE octet_length(encode(coalesce(html, ''))) END AS BIGINT) AS size FROM pages"""
+
+
+@query("scan_assets", f"SELECT id, size FROM ({_ASSETS_SQL}) WHERE size > 0")
+def scan_assets(spark, sf):
+    """Files by name and size; empty ones are none."""
+    return _assets(spark, sf).select("id", "size")
+
+
+@query(
+    "asset_summary",
+    f"""SELECT count(*) FILTER (WHERE size > 0) AS files, round(coalesce(sum(size), 0) / 1048576.0::DOUBLE, 9) AS total_mb,
+               count(*) FILTER (WHERE size = 0) AS empty FROM ({_ASSETS_SQL})""",
+)
+def asset_summary(spark, sf):
+    """Files, megabytes and, against the table's ids, the empty ones."""
+    names = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"))
+    summary = assets.asset_summary(_assets(spark, sf), names, "id")
+    return summary.withColumn("total_mb", F.round("total_mb", 9))

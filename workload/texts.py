@@ -56,7 +56,17 @@ def vocab_sql(tokens: str = TOKENS, source: str = "documents") -> str:
     return f"""tk AS (SELECT doc_id, {tokens} AS toks FROM {source}),
         px AS (SELECT doc_id, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM tk),
         vc AS (SELECT token, count(*) AS freq, min((doc_id, pos)) AS first FROM px GROUP BY 1 HAVING count(*) >= 2),
-        vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY first) + 1 AS INTEGER) AS token_id, freq FROM vc)"""
+        vocab AS (SELECT token, row_number() OVER (ORDER BY first) + 1 AS token_id, freq FROM vc)"""
+
+
+@query(
+    "build_vocab_text_keys",
+    f"WITH {vocab_sql(source="(SELECT printf('%012d', 1000000 - doc_id) AS doc_id, text FROM documents)")} SELECT * FROM vocab",
+)
+def build_vocab_text_keys(spark, sf):
+    """Keys that are texts, in an order of their own."""
+    docs = documents(spark, sf).withColumn("name", F.format_string("%012d", 1_000_000 - F.col("doc_id")))
+    return vocab.build_vocab(docs, "name", "text")
 
 
 @query("build_vocab", f"WITH {vocab_sql()} SELECT * FROM vocab")
@@ -84,18 +94,17 @@ def encode(spark, sf):
     )
 
 
-@query(
-    "encode_windows",
-    f"""WITH {vocab_sql()},
-        en AS (SELECT p.doc_id, p.pos // 200 AS part, p.pos, coalesce(v.token_id, 1) AS id, {tone_sql("p.token")} + 1 AS tone
+WINDOWS = f"""en AS (SELECT p.doc_id, p.pos // 200 AS part, p.pos, coalesce(v.token_id, 1) AS id, {tone_sql("p.token")} + 1 AS tone
                FROM px p LEFT JOIN vocab v ON v.token = p.token),
         ag AS (SELECT doc_id, part, string_agg(id, ',' ORDER BY pos) AS ids, string_agg(tone, ',' ORDER BY pos) AS tones,
                       count(*) AS n FROM en GROUP BY 1, 2),
         full_ag AS (SELECT doc_id, coalesce(part, 0) AS part, coalesce(ids, '') AS ids, coalesce(tones, '') AS tones,
-                           coalesce(n, 0) AS n FROM tk LEFT JOIN ag USING (doc_id))
-        SELECT doc_id, part, trim(ids || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS ids,
-               trim(tones || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS tones FROM full_ag""",
-)
+                           coalesce(n, 0) AS n FROM tk LEFT JOIN ag USING (doc_id)),
+        windows AS (SELECT doc_id, part, trim(ids || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS ids,
+                           trim(tones || repeat(',0', CAST(200 - n AS INTEGER)), ',') AS tones FROM full_ag)"""
+
+
+@query("encode_windows", f"WITH {vocab_sql()}, {WINDOWS} SELECT * FROM windows")
 def encode_windows(spark, sf):
     """Whole texts, window by window."""
     docs = documents(spark, sf).select("doc_id", "text")

@@ -23,6 +23,8 @@ from corpusflow.session import stage, work_path
 
 # Bytes of records in a frame, and bytes of records after which a task begins its next bundle.
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 1 << 30
+# Bytes of records that a task reads: the least, and the most where there are more than two tasks a core.
+READ_BYTES, READ_MOST = 4 << 20, 128 << 20
 # Rows of the table of repeated payloads up to which it is broadcast (about 60 bytes a row).
 BROADCAST_ROWS = 1_000_000
 # Fixed values of the formats.
@@ -181,7 +183,8 @@ def write_archives(df: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z
 def read_archives(index: DataFrame) -> DataFrame:
     """The records (``RECORDS``) that the rows of an index name; ``payload`` is NULL for revisits.
 
-    Rows of one frame come together, so a frame is read and unpacked once.
+    Rows of one frame come together, so a frame is read and unpacked once. The number of tasks
+    follows the bytes of the records, not the size of the index.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +200,8 @@ def read_archives(index: DataFrame) -> DataFrame:
             found, held = [], 0
             for bundle, number, offset, length in zip(*(batch.column(c).to_pylist() for c in ("bundle", "frame", "offset", "length"))):
                 if bundle != path:
+                    if source is not None:
+                        source.close()
                     system, name = fs.FileSystem.from_uri(bundle)
                     source = system.open_input_file(name)
                     path, frame, frames = bundle, None, read_seek_table(source)
@@ -213,7 +218,12 @@ def read_archives(index: DataFrame) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], t) for n, t in zip(names, types)], names=names)
 
-    near = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+        if source is not None:
+            source.close()
+
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-size // READ_MOST), min(-(-size // READ_BYTES), 2 * index.sparkSession.sparkContext.defaultParallelism), 1)
+    near = index.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
     return near.mapInArrow(read, RECORDS)
 
 

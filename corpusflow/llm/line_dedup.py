@@ -2,22 +2,30 @@
 
 Near-equal lines are found by a deletion-neighbourhood join: a line stands under the hash of itself and
 of every variant with one character left out; lines within one edit meet under a variant, are verified
-by their edit distance, and the earliest stays. Two facts keep this linear. Lines that lie one edit
+by comparing what lies before and after the edit, and the earliest stays. Two facts keep this linear. Lines that lie one edit
 apart agree in their first or their last half, so only lines that share a half with another line emit
 variants, and only of the other half. And lines that differ in the character at one place stand under
 the same variant *and place*, where all are within one edit of the first, so each is held against the
 earliest line of its key alone: no pairs are made.
+
+A variant of a short line is hashed as it is spelled. For a long line that would take time with the
+square of its length, so a string of more than ``SPELLED_CHARS`` characters has the sum of a hash of each
+character with its place as its key, and all variants of a line come from two running sums over it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.session import stage
 
 # Shorter lines (headings, list marks, greetings) are left alone, unless exact repeats are asked for at every length.
 MIN_CHARS = 20
+# Characters up to which a string's key is the hash of its spelling.
+SPELLED_CHARS = 2_000
+# Bits of a character's hash: the sum over a line of eight million characters fits a long.
+CHAR_BITS = 40
 # A line with a word in it.
 WORDED = r"[\p{L}\p{N}]"
 # Rows of a table of hashes up to which it is broadcast (24 bytes a row); a larger one is shuffled.
@@ -66,23 +74,62 @@ def _candidates(lines: DataFrame) -> DataFrame:
     return stage(found.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(1), "line")}), "line-candidates")
 
 
+def _spelled(found: DataFrame) -> DataFrame:
+    """(at, h, i, v): the key of each variant of lines whose variants are short."""
+    cut = lambda i: F.xxhash64(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line"))))
+    short = found.where(F.length("line") <= SPELLED_CHARS + 1)
+    each = F.transform(F.sequence("low", "high"), lambda i: F.struct(cut(i).alias("v"), i.alias("i")))
+    return short.select("at", "h", F.explode(each).alias("x")).select("at", "h", "x.i", "x.v")
+
+
+def _placed(c: Column, place: Column, side: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(side), c, place), 64 - CHAR_BITS)
+
+
+def _summed_key(a: Column, b: Column, n: Column) -> Column:
+    return F.xxhash64(F.lit("sum"), a, b, n)
+
+
+def _summed(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((at, h, i, v), (at, h, v)): the keys of the variants of long lines, and of long lines themselves.
+
+    Leaving out a character moves all later ones down by one place: a variant's sum
+    is that of the characters before, where they stand, and after, one place lower.
+    """
+    long = found.where(F.length("line") > SPELLED_CHARS).withColumn("n", F.length("line"))
+    chars = long.select("at", "h", "g", "low", "high", "n", F.posexplode(F.split("line", "")).alias("pos", "c"))
+    i = F.col("pos") + F.lit(1)
+    own = {f"own{s}": _placed(F.col("c"), i, s) for s in (0, 1)}
+    moved = {f"moved{s}": _placed(F.col("c"), i - F.lit(1), s) for s in (0, 1)}
+    line = Window.partitionBy("h", "g")
+    before = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    upto = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = chars.withColumns(own | moved).groupBy("h", "g").agg(*[F.sum(f"{k}{s}").alias(f"all_{k}{s}") for k in ("own", "moved") for s in (0, 1)])
+    sums = chars.withColumns(own | moved).select(
+        "at", "h", "g", "low", "high", "n", i.alias("i"),
+        *[(F.coalesce(F.sum(f"own{s}").over(before), F.lit(0)) - F.sum(f"moved{s}").over(upto)).alias(f"x{s}") for s in (0, 1)],
+    )
+    kept = sums.where("n > {} and i between low and high".format(SPELLED_CHARS + 1)).join(totals, ["h", "g"])
+    part = [F.col(f"x{s}") + F.col(f"all_moved{s}") for s in (0, 1)]
+    variants = kept.select("at", "h", "i", _summed_key(*part, F.col("n") - F.lit(1)).alias("v"))
+    whole = long.select("at", "h", "g", "n").join(totals, ["h", "g"])
+    return variants, whole.select("at", "h", _summed_key(F.col("all_own0"), F.col("all_own1"), F.col("n")).alias("v"))
+
+
 def near_lines(lines: DataFrame) -> DataFrame:
     """Hashes ``h``, ``g`` of the lines that lie one edit from an earlier line."""
     found = _candidates(lines)
-    cut = lambda i: F.xxhash64(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line"))))
+    long, whole = _summed(found)
+    variants = _spelled(found).unionByName(long)
     # kind: 0 same variant and place, 1 the variant of a line, 2 the line itself.
-    variants = found.select(
-        "at", "h",
-        F.explode(F.transform(F.sequence("low", "high"), lambda i: F.struct(cut(i).alias("v"), i.alias("i")))).alias("x"),
-    )
     # Both keys of a variant come from one evaluation of it: most of the work is here.
     keys = F.array(
-        F.struct(F.xxhash64("x.v", "x.i").alias("key"), F.lit(0).alias("kind")), F.struct(F.col("x.v").alias("key"), F.lit(1).alias("kind"))
+        F.struct(F.xxhash64("v", "i").alias("key"), F.lit(0).alias("kind")), F.struct(F.col("v").alias("key"), F.lit(1).alias("kind"))
     )
-    left_out = variants.select("at", "h", F.explode(keys).alias("k")).select("k.key", "k.kind", "at", "h")
-    itself = found.select(F.col("h").alias("key"), F.lit(2).alias("kind"), "at", "h")
-    emitted = left_out.unionByName(itself)
-    first = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("at", "h")))
+    left_out = variants.select("at", "h", "i", F.explode(keys).alias("k")).select("k.key", "k.kind", "at", "h", "i")
+    spelled = found.where(F.length("line") <= SPELLED_CHARS).select(F.col("h").alias("key"), F.lit(2).alias("kind"), "at", "h", F.lit(0).alias("i"))
+    emitted = left_out.unionByName(spelled).unionByName(whole.select(F.col("v").alias("key"), F.lit(2).alias("kind"), "at", "h", F.lit(0).alias("i")))
+    first = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("at", "h", "i")))
     groups = emitted.groupBy("key").agg(
         first(0).alias("k0"), first(1).alias("k1"), first(2).alias("k2"), F.min("h").alias("low"), F.max("h").alias("high")
     )
@@ -90,10 +137,16 @@ def near_lines(lines: DataFrame) -> DataFrame:
     met = emitted.join(_small(groups), "key")
     # A variant is held against the line itself, the line against the earliest of its variants.
     other = F.when(F.col("kind") == 0, F.col("k0")).when(F.col("kind") == 1, F.col("k2")).otherwise(F.col("k1"))
-    pairs = met.select("at", "h", other.alias("other")).where("other.at < at").select("h", F.col("other.h").alias("o")).distinct()
+    pairs = met.select("at", "h", "kind", "i", other.alias("other")).where("other.at < at")
+    place = F.when(F.col("kind") == 2, F.col("other.i")).otherwise(F.col("i"))
+    pairs = pairs.groupBy("h", F.col("other.h").alias("o")).agg(F.min(F.struct("kind", place.alias("i"))).alias("edit")).select("h", "o", "edit.*")
     mine = found.select("h", "g", "line")
     theirs = found.select(F.col("h").alias("o"), F.col("line").alias("other"))
-    verified = pairs.join(mine, "h").join(theirs, "o").where(F.levenshtein("line", "other", 1) == 1)
+    # The place of the edit is known, so a pair is verified by comparing what lies before and after it.
+    without = lambda c: F.concat(F.substring(c, F.lit(1), F.col("i") - 1), F.substring(c, F.col("i") + 1, F.length(c)))
+    one = F.when(F.col("kind") == 0, without("line") == without("other"))
+    one = one.when(F.col("kind") == 1, without("line") == F.col("other")).otherwise(F.col("line") == without("other"))
+    verified = pairs.join(mine, "h").join(theirs, "o").where(one)
     return stage(verified.select("h", "g").distinct(), "lines-near")
 
 

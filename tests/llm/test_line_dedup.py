@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+from corpusflow.llm import line_dedup
 from corpusflow.llm.line_dedup import dedup_lines
 from tests.llm.helpers import invented, levenshtein
 
@@ -79,6 +80,24 @@ def test_empty_table_and_long_lines(spark):
     assert {r["doc_id"]: r["dropped_lines"] for r in dedup_lines(df).collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def test_variants_of_long_lines_by_running_sums(spark, monkeypatch):
+    """The same rows with all keys spelled, all summed, and with the bound among the lines' lengths."""
+    schema = "doc_id long, text string"
+    for bound in (0, 24, 40):
+        monkeypatch.setattr(line_dedup, "SPELLED_CHARS", bound)
+        rows = collection(4)
+        got = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in dedup_lines(spark.createDataFrame(rows, schema)).collect()}
+        assert got == brute(rows)
+
+
+def test_lines_of_a_megabyte(spark):
+    line = "".join(random.Random(7).choices("abcdefgh é😀", k=1_000_000))
+    p = 700_001
+    rows = [(1, line), (2, line[:p] + line[p + 1 :]), (3, line[:p] + "Z" + line[p:]), (4, line[:p] + "Y" + line[p + 1 :]), (5, line[::-1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["dropped_lines"] for r in dedup_lines(df).collect()} == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0}
+
+
 def test_no_python_on_the_path(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     assert "Python" not in dedup_lines(df)._jdf.queryExecution().executedPlan().toString()

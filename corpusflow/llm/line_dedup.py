@@ -96,24 +96,28 @@ def _summed(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     Leaving out a character moves all later ones down by one place: a variant's sum
     is that of the characters before, where they stand, and after, one place lower.
     """
-    long = found.where(F.length("line") > SPELLED_CHARS).withColumn("n", F.length("line"))
-    chars = long.select("at", "h", "g", "low", "high", "n", F.posexplode(F.split("line", "")).alias("pos", "c"))
+    # What the whole line sums up to is folded up in the line's own row.
+    names = [f"{k}{s}" for k in ("own", "moved") for s in (0, 1)]
+    of = lambda c, i: F.struct(*[_placed(c, i + (1 - k), s).alias(f"{n}{s}") for k, n in enumerate(("own", "moved")) for s in (0, 1)])
+    zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
+    add = lambda a, x: F.struct(*[(a[n] + x[n]).alias(n) for n in names])
+    total = F.aggregate(F.transform(F.split("line", ""), of), zero, add)
+    long = found.where(F.length("line") > SPELLED_CHARS).withColumn("n", F.length("line")).withColumn("all", total)
+    edited = long.where(F.col("n") > SPELLED_CHARS + 1)
+    chars = edited.select("at", "h", "g", "low", "high", "n", "all", F.posexplode(F.split("line", "")).alias("pos", "c"))
     i = F.col("pos") + F.lit(1)
     own = {f"own{s}": _placed(F.col("c"), i, s) for s in (0, 1)}
     moved = {f"moved{s}": _placed(F.col("c"), i - F.lit(1), s) for s in (0, 1)}
     line = Window.partitionBy("h", "g")
     before = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     upto = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = chars.withColumns(own | moved).groupBy("h", "g").agg(*[F.sum(f"{k}{s}").alias(f"all_{k}{s}") for k in ("own", "moved") for s in (0, 1)])
     sums = chars.withColumns(own | moved).select(
-        "at", "h", "g", "low", "high", "n", i.alias("i"),
+        "at", "h", "low", "high", "n", "all", i.alias("i"),
         *[(F.coalesce(F.sum(f"own{s}").over(before), F.lit(0)) - F.sum(f"moved{s}").over(upto)).alias(f"x{s}") for s in (0, 1)],
     )
-    kept = sums.where("n > {} and i between low and high".format(SPELLED_CHARS + 1)).join(totals, ["h", "g"])
-    part = [F.col(f"x{s}") + F.col(f"all_moved{s}") for s in (0, 1)]
-    variants = kept.select("at", "h", "i", _summed_key(*part, F.col("n") - F.lit(1)).alias("v"))
-    whole = long.select("at", "h", "g", "n").join(totals, ["h", "g"])
-    return variants, whole.select("at", "h", _summed_key(F.col("all_own0"), F.col("all_own1"), F.col("n")).alias("v"))
+    part = [F.col(f"x{s}") + F.col(f"all.moved{s}") for s in (0, 1)]
+    variants = sums.where("i between low and high").select("at", "h", "i", _summed_key(*part, F.col("n") - F.lit(1)).alias("v"))
+    return variants, long.select("at", "h", _summed_key(F.col("all.own0"), F.col("all.own1"), F.col("n")).alias("v"))
 
 
 def near_lines(lines: DataFrame) -> DataFrame:

@@ -8,24 +8,24 @@ variants, and only of the other half. And lines that differ in the character at
 the same variant *and place*, where all are within one edit of the first, so each is held against the
 earliest line of its key alone: no pairs are made.
 
-A variant of a short line is hashed as it is spelled. For a long line that would take time with the
-square of its length, so a string of more than ``SPELLED_CHARS`` characters has the sum of a hash of each
-character with its place as its key, and all variants of a line come from two running sums over it.
+A line has as many variants as characters, each as long as the line. So that a long line does not take
+time with the square of its length, the place of the edit is narrowed first, from half a line to a
+sixteenth, then sixteen times further each time: a line stands under the hash of all that lies before
+and after a window of it, and only windows that another line shares are cut further. Variants are
+spelled out for the places of the last, short windows alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.session import stage
 
 # Shorter lines (headings, list marks, greetings) are left alone, unless exact repeats are asked for at every length.
 MIN_CHARS = 20
-# Characters up to which a string's key is the hash of its spelling.
-SPELLED_CHARS = 2_000
-# Bits of a character's hash: the sum over a line of eight million characters fits a long.
-CHAR_BITS = 40
+# Places up to which a window is not cut any further, and windows that a wider one is cut into.
+SPAN, PARTS = 64, 16
 # A line with a word in it.
 WORDED = r"[\p{L}\p{N}]"
 # Rows of a table of hashes up to which it is broadcast (24 bytes a row); a larger one is shuffled.
@@ -74,65 +74,72 @@ def _candidates(lines: DataFrame) -> DataFrame:
     return stage(found.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(1), "line")}), "line-candidates")
 
 
-def _spelled(found: DataFrame) -> DataFrame:
-    """(at, h, i, v): the key of each variant of lines whose variants are short."""
-    cut = lambda i: F.xxhash64(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line"))))
-    short = found.where(F.length("line") <= SPELLED_CHARS + 1)
-    each = F.transform(F.sequence("low", "high"), lambda i: F.struct(cut(i).alias("v"), i.alias("i")))
-    return short.select("at", "h", F.explode(each).alias("x")).select("at", "h", "x.i", "x.v")
-
-
-def _placed(c: Column, place: Column, side: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.lit(side), c, place), 64 - CHAR_BITS)
-
-
-def _summed_key(a: Column, b: Column, n: Column) -> Column:
-    return F.xxhash64(F.lit("sum"), a, b, n)
+def _windows(line: Column, spans: Column, parts: int) -> Column:
+    """(key, m, low, high) of the windows, each of 1 / ``parts`` of a line, that ``spans`` touch.
 
-
-def _summed(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((at, h, i, v), (at, h, v)): the keys of the variants of long lines, and of long lines themselves.
-
-    Leaving out a character moves all later ones down by one place: a variant's sum
-    is that of the characters before, where they stand, and after, one place lower.
+    Lines one edit apart share a window by the length ``m`` of the shorter one: they agree in the ``k``
+    first windows, and in all that follows the next one, counted from the end.
     """
-    # What the whole line sums up to is folded up in the line's own row.
-    names = [f"{k}{s}" for k in ("own", "moved") for s in (0, 1)]
-    of = lambda c, i: F.struct(*[_placed(c, i + (1 - k), s).alias(f"{n}{s}") for k, n in enumerate(("own", "moved")) for s in (0, 1)])
-    zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
-    add = lambda a, x: F.struct(*[(a[n] + x[n]).alias(n) for n in names])
-    total = F.aggregate(F.transform(F.split("line", ""), of), zero, add)
-    long = found.where(F.length("line") > SPELLED_CHARS).withColumn("n", F.length("line")).withColumn("all", total)
-    edited = long.where(F.col("n") > SPELLED_CHARS + 1)
-    chars = edited.select("at", "h", "g", "low", "high", "n", "all", F.posexplode(F.split("line", "")).alias("pos", "c"))
-    i = F.col("pos") + F.lit(1)
-    own = {f"own{s}": _placed(F.col("c"), i, s) for s in (0, 1)}
-    moved = {f"moved{s}": _placed(F.col("c"), i - F.lit(1), s) for s in (0, 1)}
-    line = Window.partitionBy("h", "g")
-    before = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    upto = line.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = chars.withColumns(own | moved).select(
-        "at", "h", "low", "high", "n", "all", i.alias("i"),
-        *[(F.coalesce(F.sum(f"own{s}").over(before), F.lit(0)) - F.sum(f"moved{s}").over(upto)).alias(f"x{s}") for s in (0, 1)],
-    )
-    part = [F.col(f"x{s}") + F.col(f"all.moved{s}") for s in (0, 1)]
-    variants = sums.where("i between low and high").select("at", "h", "i", _summed_key(*part, F.col("n") - F.lit(1)).alias("v"))
-    return variants, long.select("at", "h", _summed_key(F.col("all.own0"), F.col("all.own1"), F.col("n")).alias("v"))
+    n = F.length(line)
+    wide = lambda m: F.ceil(m / parts).cast("int")
+    # An insertion lies between two places, so a window that only adjoins a span is taken too.
+    first = lambda s: F.greatest(F.floor((s["low"] - 2) / wide(s["m"])), F.lit(0)).cast("int")
+    last = lambda s: F.floor(F.least(s["high"], s["m"] - 1) / wide(s["m"])).cast("int")
+    places = F.transform(spans, lambda s: F.transform(F.sequence(first(s), last(s)), lambda k: F.struct(s["m"].alias("m"), k.alias("k"))))
+
+    def window(x: Column) -> Column:
+        before = x["k"] * wide(x["m"])
+        after = F.greatest(x["m"] - before - wide(x["m"]), F.lit(0))
+        key = F.xxhash64(x["m"], x["k"], F.substring(line, F.lit(1), before), F.substring(line, n - after + 1, after))
+        return F.struct(key.alias("key"), x["m"].alias("m"), (before + 1).alias("low"), (n - after).alias("high"))
+
+    return F.transform(F.array_distinct(F.flatten(places)), window)
+
+
+def _narrowed(found: DataFrame) -> DataFrame:
+    """``found`` with ``spans``: where a line may be edited, as (m, low, high), ``m`` the length of the shorter line of a pair."""
+    n = F.length("line")
+    longest = found.agg(F.max(n)).first()[0] or 0
+    spans = F.array(*[F.struct(m.alias("m"), F.col("low").cast("int").alias("low"), F.col("high").cast("int").alias("high")) for m in (n, n - 1)])
+    rest, done, cut, parts = found.select("h", "g", "line", "at", spans.alias("spans")), [], 2, PARTS
+    while longest > cut * SPAN:
+        wide = lambda s: s["m"] > cut * SPAN  # noqa: E731, B023
+        done.append(rest.where(~F.exists("spans", wide)))
+        rest = rest.where(F.exists("spans", wide))
+        each = rest.select("h", "g", F.explode(_windows(F.col("line"), F.filter("spans", wide), parts)).alias("w")).select("h", "g", "w.*")
+        shared = each.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("key")
+        met = each.join(_small(stage(shared, "line-windows")), "key", "left_semi")
+        met = met.groupBy("h", "g").agg(F.collect_set(F.struct("m", "low", "high")).alias("met"))
+        # Of a line at the limit, one of the two lengths may be narrow already.
+        narrow = F.filter("spans", lambda s: ~wide(s))  # noqa: B023
+        left = rest.join(met, ["h", "g"], "left").withColumn("spans", F.when(F.col("met").isNull(), narrow).otherwise(F.concat(narrow, "met")))
+        rest = stage(left.where(F.size("spans") > 0).drop("met"), "line-spans")
+        cut, parts = parts, parts * PARTS
+    for some in done:
+        rest = rest.unionByName(some)
+    return rest
+
+
+def _variants(found: DataFrame) -> DataFrame:
+    """(at, h, i, v): the key of each variant, left out at place ``i``."""
+    cut = lambda i: F.xxhash64(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.length("line"))))
+    places = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["low"], s["high"]))))
+    each = F.transform(places, lambda i: F.struct(cut(i).alias("v"), i.alias("i")))
+    return found.select("at", "h", F.explode(each).alias("x")).select("at", "h", "x.i", "x.v")
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
     """Hashes ``h``, ``g`` of the lines that lie one edit from an earlier line."""
-    found = _candidates(lines)
-    long, whole = _summed(found)
-    variants = _spelled(found).unionByName(long)
+    found = _narrowed(_candidates(lines))
+    variants = _variants(found)
     # kind: 0 same variant and place, 1 the variant of a line, 2 the line itself.
     # Both keys of a variant come from one evaluation of it: most of the work is here.
     keys = F.array(
         F.struct(F.xxhash64("v", "i").alias("key"), F.lit(0).alias("kind")), F.struct(F.col("v").alias("key"), F.lit(1).alias("kind"))
     )
     left_out = variants.select("at", "h", "i", F.explode(keys).alias("k")).select("k.key", "k.kind", "at", "h", "i")
-    spelled = found.where(F.length("line") <= SPELLED_CHARS).select(F.col("h").alias("key"), F.lit(2).alias("kind"), "at", "h", F.lit(0).alias("i"))
-    emitted = left_out.unionByName(spelled).unionByName(whole.select(F.col("v").alias("key"), F.lit(2).alias("kind"), "at", "h", F.lit(0).alias("i")))
+    spelled = found.select(F.col("h").alias("key"), F.lit(2).alias("kind"), "at", "h", F.lit(0).alias("i"))
+    emitted = left_out.unionByName(spelled)
     first = lambda kind: F.min(F.when(F.col("kind") == kind, F.struct("at", "h", "i")))
     groups = emitted.groupBy("key").agg(
         first(0).alias("k0"), first(1).alias("k1"), first(2).alias("k2"), F.min("h").alias("low"), F.max("h").alias("high")

@@ -80,16 +80,42 @@ def test_empty_table_and_long_lines(spark):
     assert {r["doc_id"]: r["dropped_lines"] for r in dedup_lines(df).collect()} == {1: 0, 2: 1, 3: 0}
 
 
-def test_variants_of_long_lines_by_running_sums(spark, monkeypatch):
-    """The same rows with all keys spelled, all summed, and with the bound among the lines' lengths."""
+def test_narrowing_loses_no_line(spark, monkeypatch):
+    """The same rows however far windows are cut."""
     schema = "doc_id long, text string"
-    for bound in (0, 24, 40):
-        monkeypatch.setattr(line_dedup, "SPELLED_CHARS", bound)
+    for span, parts in ((1, 2), (1, 16), (5, 3)):
+        monkeypatch.setattr(line_dedup, "SPAN", span)
+        monkeypatch.setattr(line_dedup, "PARTS", parts)
         rows = collection(4)
         got = {r["doc_id"]: (r["text"], r["dropped_lines"]) for r in dedup_lines(spark.createDataFrame(rows, schema)).collect()}
         assert got == brute(rows)
 
 
+def one_edit(a, b):
+    """Does one character put in, left out or changed make ``b`` of ``a``?"""
+    if len(a) > len(b):
+        a, b = b, a
+    p = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a != b and (len(a) + 1 == len(b) and a[p:] == b[p + 1 :] or len(a) == len(b) and a[p + 1 :] == b[p + 1 :])
+
+
+def test_edits_at_every_place_of_long_lines(spark):
+    """Lengths around those at which windows are cut once or twice more, edits at both ends and at the windows' ends."""
+    rng = random.Random(11)
+    lines = []
+    for n in (127, 128, 129, 130, 300, 1023, 1024, 1025, 1026, 2300):
+        line = "".join(rng.choices("abcd é😀", k=n - 1)) + "."
+        places = {0, 1, n // 2 - 1, n // 2, n // 2 + 1, n - 1, *(k * -(-n // 16) + d for k in range(1, 16, 5) for d in (-1, 0, 1)), *rng.sample(range(n), 4)}
+        for p in (p for p in places if 0 <= p < n):
+            lines += [line[:p] + "Z" + line[p + 1 :], line[:p] + "Z" + line[p:], line[:p] + line[p + 1 :]]
+        lines += [line + "Z", line[:5] + "QQ" + line[5:], line[: n // 3] + "Q" + line[n // 3 : n // 2] + "Q" + line[n // 2 :], line]
+    rng.shuffle(lines)
+    rows = list(enumerate(lines))
+    got = {r["doc_id"]: r["dropped_lines"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = lambda i, x: any(a == x or abs(len(a) - len(x)) <= 1 and one_edit(a, x) for a in lines[:i])
+    assert got == {i: int(near(i, x)) for i, x in rows}
+
+
 def test_lines_of_a_megabyte(spark):
     line = "".join(random.Random(7).choices("abcdefgh é😀", k=1_000_000))
     p = 700_001

@@ -369,8 +369,13 @@ def jaccard_groups(df: DataFrame, doc: str = "doc_id", text: str = "text", width
     right = few.select("entry", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("root").alias("rb"))
     pairs = left.join(right, "entry").where((F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & _alike(num, den))
     pairs = stage(_sharing(pairs, num, den, 1.0).join(stars, ["a", "b"], "left_anti"), "open-pairs")
-    links = links.unionByName(_verified(pairs, rows, classes, width, num, den))
-    links = links.unionByName(_blocked(rest.where("heavy"), known, rows, classes, width, num, den))
+    # What the first links brought together is stars already; only the new links can join them.
+    links = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    if not pairs.isEmpty():
+        links = links.unionByName(_verified(pairs, rows, classes, width, num, den))
+    heavy = rest.where("heavy")
+    if not heavy.isEmpty():
+        links = links.unionByName(_blocked(heavy, known, rows, classes, width, num, den))
 
     roots = components(links).withColumnRenamed("node", "cls")
     owned = classes.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))

@@ -32,6 +32,17 @@ def file_stream(
     return reader.parquet(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """A Parquet table as a stream, be it a folder of files, partitioned or not, or a single file.
+
+    A stream takes a single file only as the match of a pattern; the files beside it are not listed.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+    found = path if folder else f"{at.getParent()}/{{{at.getName()}}}"
+    return file_stream(spark, found, schema, files_per_batch=files_per_batch)
+
+
 def resume_ingest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Take over what has arrived since the last run, exactly once, then stop."""
     return (

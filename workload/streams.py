@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.operators import routing
 from corpusflow.operators.profile import status_class
@@ -13,7 +14,7 @@ from workload.registry import query, table
 
 
 def _stream(spark, sf, name):
-    return ingest.file_stream(spark, sf, table(spark, sf, name).schema, f"{name}.parquet")
+    return ingest.table_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
 
 
 @query("stream_admit", "SELECT DISTINCT user_id FROM events")
@@ -78,6 +79,8 @@ def stream_route(spark, sf):
     def route(batch):
         return routing.route_by_language(routing.content_route(batch, "text", "text", ["red "]), "en", "lang")
 
-    path = work_path(spark, "routes")
-    ingest.stream_route(_stream(spark, sf, "documents"), route, path, work_path(spark, "routes-state")).awaitTermination()
-    return spark.read.parquet(path).select("doc_id", "route")
+    path, stream = work_path(spark, "routes"), _stream(spark, sf, "documents")
+    ingest.stream_route(stream, route, path, work_path(spark, "routes-state")).awaitTermination()
+    # A table without rows leaves no file to take the schema from.
+    stored = T.StructType([stream.schema["doc_id"]]).add("route", T.StringType())
+    return spark.read.schema(stored).parquet(path).select("doc_id", "route")

@@ -9,9 +9,10 @@ For an item the row paths of its terms descend jointly: a range of documents has
 term, and the weighted sum of their maxima bounds every score in the range. Ranges are halved best
 first, until none can beat the ``k`` documents found; the bound of a single document is its score.
 
-Every row of the table is indexed, so results are exact. Shards are rows of a stored table. Items are a
-stated query set, taken in blocks of bounded size; a task that walks its shards keeps ``k`` documents
-for each item of the block.
+Every row of the table is indexed, so results are exact. Shards are rows of a stored table, compressed by
+the worker that builds them and each in a row group of its own; a task that walks them holds one at a time,
+however many it has. Items are a stated query set, taken in blocks of bounded size; a task keeps ``k``
+documents for each item of the block.
 """
 
 from __future__ import annotations
@@ -50,7 +51,11 @@ _BITS = np.array([bin(i).count("1") for i in range(16)], dtype=np.int64)
 _CHILD = np.array([_BITS[m & ((1 << q) - 1)] if m >> q & 1 else -1 for m in range(16) for q in range(4)], dtype=np.int64)
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-SHARD = "ids array<long>, no_id array<boolean>, terms array<long>, dfs array<int>, height int, masks binary, maxima binary, leaf_row binary, leaf_col binary"
+SHARD = "ids array<long>, no_id array<boolean>, height int, terms binary, dfs binary, masks binary, maxima binary, leaf_row binary, leaf_col binary"
+# What the packed columns of a shard hold.
+PACKED = {"terms": np.uint64, "dfs": np.int32, "masks": np.uint8, "maxima": np.uint32, "leaf_row": np.uint16, "leaf_col": np.uint16}
+# A shard is megabytes: Spark and Parquet get it compressed, and neither writes nor reads two shards at once.
+STORED = {"compression": "none", "parquet.enable.dictionary": "false", "parquet.block.row.count.limit": "1"}
 HIT = "item_no long, doc_id long, score long"
 
 
@@ -79,6 +84,18 @@ def terms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return owner, names[number], np.diff(np.append(at, len(pair))), counts
 
 
+def _pack(array: np.ndarray) -> bytes:
+    """An array's bytes, compressed, behind their number."""
+    data = np.ascontiguousarray(array).tobytes()
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
+
+
+def _unpack(value: pa.BinaryScalar, kind: type) -> np.ndarray:
+    data = value.as_buffer()
+    size = int.from_bytes(data[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.Codec("zstd").decompress(data[8:], size), kind)
+
+
 def _morton(row: np.ndarray, col: np.ndarray, height: int) -> np.ndarray:
     code = np.zeros(len(row), dtype=np.int64)
     for bit in range(height):
@@ -214,15 +231,14 @@ class Treap:
         return out
 
     def row(self) -> tuple:
-        arrays = (self.masks, self.maxima, self.leaf_row, self.leaf_col)
-        return (self.ids, self.no_id, self.terms.view(np.int64), self.dfs.astype(np.int32), self.height, *(x.tobytes() for x in arrays))
+        return (self.ids, self.no_id, self.height, *(_pack(getattr(self, n).astype(kind)) for n, kind in PACKED.items()))
 
     @classmethod
     def read(cls, batch: pa.RecordBatch) -> Iterator[Treap]:
         lists = lambda name, i: np.asarray(batch.column(name)[i].values.to_numpy(zero_copy_only=False))
         for i in range(batch.num_rows):
-            blobs = [np.frombuffer(batch.column(n)[i].as_buffer(), k) for n, k in (("masks", np.uint8), ("maxima", np.uint32), ("leaf_row", np.uint16), ("leaf_col", np.uint16))]
-            yield cls(lists("ids", i), lists("no_id", i), lists("terms", i).view(np.uint64), lists("dfs", i), batch.column("height")[i].as_py(), *blobs)
+            arrays = {n: _unpack(batch.column(n)[i], kind) for n, kind in PACKED.items()}
+            yield cls(ids=lists("ids", i), no_id=lists("no_id", i), height=batch.column("height")[i].as_py(), **arrays)
 
 
 class Found:
@@ -254,7 +270,7 @@ def _shards(documents: int, terms: int):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         docs = postings = 0
-        schema = pa.schema([("ids", pa.list_(pa.int64())), ("no_id", pa.list_(pa.bool_())), ("terms", pa.list_(pa.int64())), ("dfs", pa.list_(pa.int32())), ("height", pa.int32()), *((n, pa.binary()) for n in ("masks", "maxima", "leaf_row", "leaf_col"))])
+        schema = pa.schema([("ids", pa.list_(pa.int64())), ("no_id", pa.list_(pa.bool_())), ("height", pa.int32()), *((n, pa.binary()) for n in PACKED)])
 
         def close() -> pa.RecordBatch:
             ids, no_id, doc, term, tf, size = (np.concatenate(x) for x in zip(*held))
@@ -323,7 +339,7 @@ def build_index(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Le
     seen = seen.agg(F.sum("documents").alias("documents"), F.sum("terms").alias("terms")).first()
     documents, terms = seen["documents"] or 0, seen["terms"] or 0
     shards = docs.where("text is not null").mapInArrow(_shards(documents, terms), SHARD)
-    return LexicalIndex(stage(shards, "lexical-index"), documents, terms)
+    return LexicalIndex(stage(shards, "lexical-index", **STORED), documents, terms)
 
 
 def _frequencies(shared):
@@ -334,9 +350,9 @@ def _frequencies(shared):
         total = np.zeros(len(keys), np.int64)
         for batch in batches:
             for terms, dfs in zip(batch.column("terms"), batch.column("dfs")):
-                terms, dfs = (np.asarray(x.values.to_numpy(zero_copy_only=False)) for x in (terms, dfs))
-                at = np.minimum(np.searchsorted(keys, terms.view(np.uint64)), max(len(keys) - 1, 0))
-                hit = keys[at] == terms.view(np.uint64) if len(keys) else np.zeros(len(terms), bool)
+                terms, dfs = _unpack(terms, PACKED["terms"]), _unpack(dfs, PACKED["dfs"])
+                at = np.minimum(np.searchsorted(keys, terms), max(len(keys) - 1, 0))
+                hit = keys[at] == terms if len(keys) else np.zeros(len(terms), bool)
                 total[at[hit]] += dfs[hit]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["no", "df"])
@@ -388,9 +404,13 @@ def search_index(
     size = asked.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // block_bytes)
     path = work_path(spark, "lexical-hits")
-    for block in range(blocks):
-        mine = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        _search_block(index, mine.orderBy("item_id", "text").collect(), kind, k, f"{path}/block={block}")
+    bound_batches(spark, rows=1)  # a shard each
+    try:
+        for block in range(blocks):
+            mine = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+            _search_block(index, mine.orderBy("item_id", "text").collect(), kind, k, f"{path}/block={block}")
+    finally:
+        bound_batches(spark)
     if not blocks:
         return spark.createDataFrame([], f"item_id {kind.simpleString()}, rank int, doc_id long, score long")
     found = spark.read.schema(f"item_id {kind.simpleString()}, rank int, doc_id long, score long").parquet(path)

@@ -13,12 +13,12 @@ SLICE_CHARS = 1 << 18
 BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Have the session send whole texts to Python in batches of bounded size.
 
     The default of 10,000 rows is made for numbers; of long texts it is gigabytes.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -78,8 +78,8 @@ def broadcast_if_small(df: DataFrame, size_bytes: int, limit: int = BROADCAST_BY
     return F.broadcast(df) if size_bytes <= limit else df
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a table once to the shared folder and read it back.
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write a table once to the shared folder, with the writer's ``options``, and read it back.
 
     Cuts the lineage, and lets Catalyst see the table's size on disk: a later
     join broadcasts it only if it is below ``spark.sql.autoBroadcastJoinThreshold``
@@ -87,5 +87,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

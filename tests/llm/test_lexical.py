@@ -2,11 +2,14 @@ import math
 import random
 import re
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from corpusflow.llm import lexical
+from corpusflow.llm.slices import BATCH_ROWS
 from tests.llm.helpers import ASCII_LOWER, invented
 
 TERM = re.compile(lexical.TERM)
@@ -75,6 +78,36 @@ def test_every_row_is_indexed(spark):
     assert (index.documents, index.terms) == (len(with_terms), sum(len(terms(t)) for _, t in docs))
 
 
+def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "SHARD_DOCS", 16)
+    docs, items = corpus(random.Random(7))
+    d, q = frames(spark, docs, items)
+    index = lexical.build_index(d.coalesce(1))
+    stored = [pq.ParquetFile(urlparse(f).path).metadata for f in index.shards.inputFiles()]
+    assert (groups := [m.row_group(g).num_rows for m in stored for g in range(m.num_row_groups)]) == [1] * len(groups) and len(groups) > 20
+    hits = lexical._hits
+
+    def one_each(shared, k):
+        walk = hits(shared, k)
+
+        def single(batches):
+            for batch in batches:
+                assert batch.num_rows == 1
+                yield batch
+
+        return lambda batches: walk(single(batches))
+
+    monkeypatch.setattr(lexical, "_hits", one_each)
+    assert rows(lexical.search_index(index, q)) == brute(docs, items)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == str(BATCH_ROWS)
+
+
+def test_packed_arrays_come_back():
+    for array in (np.zeros(0, np.uint16), np.arange(70_000, dtype=np.uint16), np.array([2**64 - 1, 0], np.uint64)):
+        (value,) = lexical.pa.array([lexical._pack(array)], lexical.pa.binary())
+        assert lexical._unpack(value, array.dtype.type).tolist() == array.tolist()
+
+
 def test_bounds_hold_and_prune(monkeypatch):
     monkeypatch.setattr(lexical, "FIRST_RANGES", 1)
     monkeypatch.setattr(lexical, "MOST_RANGES", 1)
